@@ -7,8 +7,6 @@ by competitor, so that a competitor with very many rows costs no more than the c
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,40 +50,33 @@ METRICS = metric_names()
 
 def row_partials() -> list[Column]:
     """Aggregates over result rows, one column per entry of ``PARTIALS``."""
-    columns = [F.count(F.lit(1)).alias(SESSIONS)]
-    columns += [F.count_if(F.expr(condition)).alias(name) for name, condition in COUNTS.items()]
-    columns += [F.sum(value).alias(name) for name, value in TOTALS.items()]
+    sql = [f"count(1) AS {SESSIONS}"]
+    sql += [f"count_if({condition}) AS {name}" for name, condition in COUNTS.items()]
+    sql += [f"sum({value}) AS {name}" for name, value in TOTALS.items()]
     for name, value in MEANS.items():
-        columns += [F.sum(F.expr(value)).alias(f"{name}__sum"), F.count(F.expr(value)).alias(f"{name}__n")]
-    return columns
+        sql += [f"sum({value}) AS {name}__sum", f"count({value}) AS {name}__n"]
+    return [F.expr(text) for text in sql]
 
 
-def slice_sums(over: Callable[[Column], Column] = lambda c: c) -> list[Column]:
-    """Sum every partial for all modes and for each mode; ``over`` may add a window."""
+def slice_sums(over: str = "") -> list[Column]:
+    """Sum every partial for all modes and for each mode; ``over`` may name a SQL window."""
     columns = []
     for partial in PARTIALS:
         for suffix, mode in SLICES.items():
-            value = F.col(partial) if mode is None else F.when(F.col("mode") == mode, F.col(partial))
-            columns.append(over(F.sum(value)).alias(f"{partial}{suffix}"))
+            value = partial if mode is None else f"if(mode = '{mode}', {partial}, NULL)"
+            columns.append(F.expr(f"sum({value}) {over} AS {partial}{suffix}"))
     return columns
 
 
-def finished_metrics(read: Callable[[str], Column], suffix: str = "") -> list[Column]:
-    """The 43 output columns from sliced sums; ``read`` finds the column of a sliced partial.
+def finished_metrics() -> list[Column]:
+    """The 43 output columns from sliced sums.
 
     Counts without rows are 0. Points and means without rows are NULL.
     """
-
-    def count(name: str, alias: str) -> Column:
-        return F.coalesce(read(name), F.lit(0)).cast("long").alias(f"{alias}{suffix}")
-
-    columns = [count(SEASONS, SEASONS)]
-    columns += [count(f"{SESSIONS}{s}", alias) for s, alias in SESSIONS_BY_MODE.items()]
-    columns += [count(f"{name}{s}", f"{name}{s}") for name in COUNTS for s in SLICES]
-    columns += [read(f"{name}{s}").alias(f"{name}{s}{suffix}") for name in TOTALS for s in SLICES]
-    columns += [
-        F.try_divide(read(f"{name}__sum{s}"), read(f"{name}__n{s}")).alias(f"{name}{s}{suffix}")
-        for name in MEANS
-        for s in SLICES
-    ]
-    return columns
+    counts = {SEASONS: SEASONS}
+    counts |= {alias: f"{SESSIONS}{s}" for s, alias in SESSIONS_BY_MODE.items()}
+    counts |= {f"{name}{s}": f"{name}{s}" for name in COUNTS for s in SLICES}
+    sql = [f"coalesce({source}, 0L) AS {alias}" for alias, source in counts.items()]
+    sql += [f"{name}{s}" for name in TOTALS for s in SLICES]
+    sql += [f"try_divide({name}__sum{s}, {name}__n{s}) AS {name}{s}" for name in MEANS for s in SLICES]
+    return [F.expr(text) for text in sql]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seasonstats.functions import metrics as M
@@ -24,6 +24,12 @@ def window_name(last_rounds: int | None) -> str:
     return "life" if last_rounds is None else f"last{last_rounds}"
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Partitions for cells. A fixed number, because a cell grows into one row per reference date: sized by
+    the shuffled cells, as adaptive coalescing would, the tasks would come out far too few and too large."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def _cells(results: DataFrame, calendar: Calendar, partials: bool = True) -> DataFrame:
     """One partial row per (competitor, session, mode), placed in the calendar and hashed by competitor.
 
@@ -54,7 +60,7 @@ def _cells(results: DataFrame, calendar: Calendar, partials: bool = True) -> Dat
         cells.alias("c")
         .join(calendar.index.alias("i"), same_session)
         .select("c.*", *[f"i.{p}" for p in place])
-        .repartition("driverid")
+        .repartition(_tasks(results.sparkSession), "driverid")
     )
 
 
@@ -74,56 +80,60 @@ def _dates_of(rows: DataFrame, start: str, stop: str) -> DataFrame:
 def _career_rows(cells: DataFrame) -> DataFrame:
     """Running sums over each competitor's cells; the newest cell stands for all dates until the next one."""
     by_time = Window.partitionBy("driverid").orderBy("lo")
-    upto = by_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = "OVER (PARTITION BY driverid ORDER BY lo RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     in_season = Window.partitionBy("driverid", "year", "numbered").orderBy("lo")
     opens_season = F.col("numbered") & (F.row_number().over(in_season) == 1)
-    running = (
-        cells.withColumn("opens_season", opens_season.cast("int"))
-        .select(
-            "driverid",
-            "lo",
-            _until_next_session(by_time).alias("until"),
-            F.max("year").over(upto).alias("latest_year"),
-            F.sum("opens_season").over(upto).alias(M.SEASONS),
-            *M.slice_sums(lambda c: c.over(upto)),
-        )
+    running = cells.withColumn("opens_season", opens_season.cast("int")).select(
+        "driverid",
+        "lo",
+        _until_next_session(by_time).alias("until"),
+        F.expr(f"max(year) {upto} AS latest_year"),
+        F.expr(f"sum(opens_season) {upto} AS {M.SEASONS}"),
+        *M.slice_sums(upto),
     )
-    return _dates_of(running, "lo", "until").drop("lo", "until")
+    return _dates_of(running, "lo", "until").drop("lo", "until").withColumn("window", F.lit(CAREER))
 
 
-def _recent_rows(cells: DataFrame, windows: list[int]) -> DataFrame:
-    """Sums per (competitor, reference date, window): a round counts for the smallest window that holds it.
+def _recent_rows(cells: DataFrame, windows: tuple[int, ...]) -> DataFrame:
+    """Sums per (competitor, reference date, window), over the rounds inside the window.
 
     A season is counted by the first cell that covers the date, so the number of seasons adds up like the rest.
     """
-    windows = sorted(windows)
     earlier = (
         Window.partitionBy("driverid", "year", "numbered")
         .orderBy("lo")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = cells.withColumns(
-        {
-            **{f"from_{n}": F.greatest(F.col("lo"), F.max(f"end_{n}").over(earlier)) for n in windows},
-            "until": F.col(f"end_{windows[-1]}") - 1,
-        }
+
+    def span(n: int) -> Column:
+        opens = F.when(F.col("numbered"), F.greatest(F.col("lo"), F.max(f"end_{n}").over(earlier)))
+        return F.struct(F.lit(n).alias("window"), (F.col(f"end_{n}") - 1).alias("until"), opens.alias("opens"))
+
+    partials = [c for c in cells.columns if not c.startswith("end_")]
+    in_windows = cells.select(*partials, *[span(n).alias(f"in_{n}") for n in windows]).select(
+        *partials, F.inline(F.array(*[f"in_{n}" for n in windows]))
     )
-    dated = _dates_of(placed, "lo", "until")
-    held_by = reduce(
-        lambda rest, n: F.when(F.col("idx") < F.col(f"end_{n}"), F.lit(n)).otherwise(rest),
-        reversed(windows[:-1]),
-        F.lit(windows[-1]),
+    return (
+        _dates_of(in_windows, "lo", "until")
+        .groupBy("driverid", "idx", "window")
+        .agg(
+            F.max("year").alias("latest_year"),
+            F.count_if(F.col("idx") >= F.col("opens")).alias(M.SEASONS),
+            *M.slice_sums(),
+        )
     )
 
-    def opens_season(n: int) -> Column:
-        counted = F.col("numbered") & (F.col("idx") >= F.col(f"from_{n}")) & (F.col("idx") < F.col(f"end_{n}"))
-        return F.count_if(counted)
 
-    return dated.groupBy("driverid", "idx", held_by.alias("window")).agg(
-        F.max("year").alias("latest_year"),
-        *[opens_season(n).alias(f"{M.SEASONS}_{n}") for n in windows],
-        *M.slice_sums(),
-    )
+def _window_rows(results: DataFrame, windows: tuple[int | None, ...], calendar: Calendar) -> DataFrame:
+    """The 43 statistics in long form: one row per (competitor, reference date, window) with a session in it."""
+    cells = _cells(results, calendar)
+    parts = []
+    if None in windows:
+        parts.append(_career_rows(cells))
+    if calendar.windows:
+        parts.append(_recent_rows(cells, calendar.windows))
+    columns = ["driverid", "idx", "window", "latest_year", *M.finished_metrics()]
+    return reduce(DataFrame.unionByName, [p.where(F.col(M.SESSIONS) > 0).select(*columns) for p in parts])
 
 
 def window_stats(
@@ -141,16 +151,11 @@ def window_stats(
     """
     windows = () if last_rounds is None else (last_rounds,)
     calendar = build_calendar(results, windows, year_start, year_stop, max_season_gap, inclusive)
-    cells = _cells(results, calendar)
-    if last_rounds is None:
-        sums = _career_rows(cells)
-    else:
-        sums = _recent_rows(cells, [last_rounds]).withColumnRenamed(f"{M.SEASONS}_{last_rounds}", M.SEASONS)
     return (
-        sums.where(F.col(M.SESSIONS) > 0)
+        _window_rows(results, (last_rounds,), calendar)
         .join(calendar.dates, "idx")
         .where(calendar.eligible(F.col("latest_year")))
-        .select(*KEY, *M.finished_metrics(F.col))
+        .select(*KEY, *M.METRICS)
     )
 
 
@@ -166,51 +171,27 @@ def feature_table(
     """All windows side by side, 43 columns per window, from one pass over the results.
 
     ``how='inner'`` keeps competitors with a session in every window, ``'left'`` all that have one in the
-    widest. The rows of all windows meet in one aggregation by competitor and date, which needs no shuffle
-    because the cells are already hashed by competitor.
+    widest. A competitor's rows of all windows, at most one per window, are put side by side by an
+    aggregation that needs no shuffle, because the cells are already hashed by competitor.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
-    recent = sorted(n for n in windows if n is not None)
-    career = None in windows
-    calendar = build_calendar(results, tuple(recent), year_start, year_stop, max_season_gap, inclusive)
-    cells = _cells(results, calendar)
-    parts = []
-    if recent:
-        parts.append(_recent_rows(cells, recent))
-    if career:
-        life = _career_rows(cells).withColumn("window", F.lit(CAREER))
-        parts.append(life.withColumns({f"{M.SEASONS}_{n}": F.lit(0).cast("long") for n in recent}))
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-    def within(n: int | None) -> Column:
-        return F.col("window") == CAREER if n is None else F.col("window").between(1, n)
-
-    sums = [F.max("latest_year").alias("latest_year")]
-    for n in windows:
-        name = window_name(n)
-        seasons = F.max(M.SEASONS) if n is None else F.sum(f"{M.SEASONS}_{n}")
-        sums.append(seasons.alias(f"{M.SEASONS}__{name}"))
-        sums += [F.sum(F.when(within(n), F.col(p))).alias(f"{p}__{name}") for p in M.SLICED]
-    wide = rows.groupBy("driverid", "idx").agg(*sums)
-
-    columns = []
-    for n in windows:
-        name = window_name(n)
-        present = F.col(f"{M.SESSIONS}__{name}") > 0
-        if how == "inner":
-            wide = wide.where(present)
-            columns += M.finished_metrics(lambda p, name=name: F.col(f"{p}__{name}"), f"_{name}")
-        else:
-            found = M.finished_metrics(lambda p, name=name: F.col(f"{p}__{name}"), f"_{name}")
-            names = [f"{m}_{name}" for m in M.METRICS]
-            columns += [F.when(present, c).alias(a) for c, a in zip(found, names, strict=True)]
-    widest = window_name(None if career else recent[-1])
+    recent = tuple(sorted(n for n in windows if n is not None))
+    calendar = build_calendar(results, recent, year_start, year_stop, max_season_gap, inclusive)
+    numbers = {CAREER if n is None else n: window_name(n) for n in windows}
+    widest = CAREER if None in windows else recent[-1]
+    found = F.map_from_entries(F.collect_list(F.struct("window", F.struct(*M.METRICS).alias("m"))))
+    wide = (
+        _window_rows(results, windows, calendar)
+        .groupBy("driverid", "idx")
+        .agg(F.max("latest_year").alias("latest_year"), found.alias("found"))
+        .where(F.size("found") == len(numbers) if how == "inner" else F.col("found")[widest].isNotNull())
+    )
     return (
-        wide.where(F.col(f"{M.SESSIONS}__{widest}") > 0)
-        .join(calendar.dates, "idx")
+        wide.join(calendar.dates, "idx")
         .where(calendar.eligible(F.col("latest_year")))
-        .select(*KEY, *columns)
+        .select(*KEY, *[F.expr(f"found[{n}]").alias(name) for n, name in numbers.items()])
+        .select(*KEY, *[F.expr(f"{w}.{m} AS {m}_{w}") for w in numbers.values() for m in M.METRICS])
     )
 
 
@@ -234,7 +215,7 @@ def snapshot_stats(results: DataFrame, as_of: str, max_season_gap: int = 2) -> D
         *[F.sum(p).alias(p) for p in M.SLICED],
     )
     return career.where(F.col("latest_year") >= newest - max_season_gap).select(
-        day.alias("dt_ref"), "driverid", *M.finished_metrics(F.col)
+        day.alias("dt_ref"), "driverid", *M.finished_metrics()
     )
 
 
