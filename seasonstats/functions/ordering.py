@@ -30,7 +30,7 @@ def _same(left: str, right: str, names: list[str]) -> Column:
 
 
 def with_running_totals(df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column]) -> DataFrame:
-    """Add for each total ``<name>_before``, the sum over the rows ahead of this one within its key, and
+    """Number the blocks and add for each total ``<name>_before``, the sum over the rows ahead of this one within its key, and
     ``<name>_all``, the sum over the whole key. Rows with NULL totals count as 0."""
     blocks = ordered_blocks(df, keys, order)
     place = [*keys, BLOCK]
@@ -51,7 +51,7 @@ def with_running_totals(df: DataFrame, keys: list[str], order: list[Column], tot
         local.alias("l")
         .join(sums.alias("s"), _same("l", "s", place))
         .select(
-            *[F.col(f"l.{c}") for c in df.columns],
+            *[F.col(f"l.{c}") for c in (*df.columns, BLOCK)],
             *[(F.col(f"__{n}_local") + F.col(f"__{n}_offset")).alias(f"{n}_before") for n in totals],
             *[F.col(f"s.{n}_all") for n in totals],
         )
@@ -61,4 +61,23 @@ def with_running_totals(df: DataFrame, keys: list[str], order: list[Column], tot
 def with_row_number(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
     """Distributed ``row_number`` per key; also keeps the number of rows of the key as ``<name>_all``."""
     counted = with_running_totals(df, keys, order, {name: F.lit(1)})
-    return counted.withColumn(name, (F.col(f"{name}_before") + 1).cast("long")).drop(f"{name}_before")
+    return counted.withColumn(name, (F.col(f"{name}_before") + 1).cast("long")).drop(f"{name}_before", BLOCK)
+
+
+def with_next(blocks: DataFrame, keys: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
+    """Add ``value`` of the following row of the key, NULL for its last row, across blocks as well as inside."""
+    place = [*keys, BLOCK]
+    inside = Window.partitionBy(*place).orderBy(*order)
+    numbered = blocks.select(
+        "*",
+        F.lead(F.struct(value.alias("v"))).over(inside).alias("__inside"),
+        F.row_number().over(inside).alias("__row"),
+    )
+    firsts = numbered.where("__row = 1").select(*place, F.struct(value.alias("v")).alias("__first"))
+    after = F.lead("__first").over(Window.partitionBy(*keys).orderBy(BLOCK)).alias("__after")
+    firsts = firsts.select(*place, after)
+    return (
+        numbered.alias("l")
+        .join(firsts.alias("s"), _same("l", "s", place))
+        .select(*[F.col(f"l.{c}") for c in blocks.columns], F.coalesce("__inside", "__after")["v"].alias(name))
+    )

@@ -115,7 +115,7 @@ def _seen_rounds(rounds: DataFrame, last: int | None) -> DataFrame:
         rounds.withColumn("until", until)
         .where("lo <= until")
         .select(*ROUND, F.explode(F.sequence("lo", "until")).alias("idx"))
-        .withColumn("rn", F.row_number().over(Window.partitionBy("idx").orderBy(*newest_first)))
+        .withColumn("rn", F.row_number().over(Window.partitionBy("idx").orderBy(*newest_first)).cast("long"))
     )
     return seen if last is None else seen.where(F.col("rn") <= last)
 
