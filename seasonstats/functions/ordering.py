@@ -44,6 +44,7 @@ def with_running_totals(df: DataFrame, keys: list[str], order: list[Column], tot
         *[F.coalesce(F.sum(f"__{n}").over(blocks_ahead), zero).alias(f"__{n}_offset") for n in totals],
         *[F.sum(f"__{n}").over(by_block).alias(f"{n}_all") for n in totals],
     )
+    sums = materialize(sums, "block_sums")  # small: a row per block, and one more per key
     local = blocks.select(
         "*", *[F.coalesce(F.sum(c).over(ahead), zero).alias(f"__{n}_local") for n, c in totals.items()]
     )
@@ -75,7 +76,7 @@ def with_next(blocks: DataFrame, keys: list[str], order: list[Column], value: Co
     )
     firsts = numbered.where("__row = 1").select(*place, F.struct(value.alias("v")).alias("__first"))
     after = F.lead("__first").over(Window.partitionBy(*keys).orderBy(BLOCK)).alias("__after")
-    firsts = firsts.select(*place, after)
+    firsts = materialize(firsts.select(*place, after), "block_firsts")
     return (
         numbered.alias("l")
         .join(firsts.alias("s"), _same("l", "s", place))

@@ -61,7 +61,8 @@ class Calendar:
 
     @property
     def dates(self) -> DataFrame:
-        """(idx, dt_ref, ref_year), one row per reference date."""
+        """(idx, dt_ref, ref_year), one row per reference date: at most one per day of the years 1 to 9999,
+        so it may always be broadcast."""
         return (
             self.index.where(F.col("idx").isNotNull())
             .groupBy("idx")

@@ -14,9 +14,10 @@ from seasonstats.operators.calendar import (
     Calendar,
     build_calendar,
 )
+from seasonstats.schema import MODES
 
 DEFAULT_WINDOWS: tuple[int | None, ...] = (None, 10, 20, 40)
-CAREER = 0  # window number of the career rows among the partial rows
+CAREER = 2**31 - 1  # the career as a number of last rounds: more than there are
 KEY = ["dt_ref", "driverid"]
 
 
@@ -30,26 +31,27 @@ def _tasks(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
-def _cells(results: DataFrame, calendar: Calendar, partials: bool = True) -> DataFrame:
+def _placeable(results: DataFrame) -> DataFrame:
+    """Rows that can be in any statistics, with their day, and modes other than race and sprint as one."""
+    known = F.when(F.col("mode").isin(*MODES.values()), F.col("mode"))
+    return results.withColumns({"day": F.to_date("date"), "mode": known}).where(
+        "driverid IS NOT NULL AND year IS NOT NULL AND day IS NOT NULL"
+    )
+
+
+def _cells(results: DataFrame, calendar: Calendar) -> DataFrame:
     """One partial row per (competitor, session, mode), placed in the calendar and hashed by competitor.
 
     The first shuffle carries rows that every task has already reduced, so a competitor who owns a large
     share of all results arrives as a few partial rows per session. The second shuffle, by competitor alone,
     serves every window and aggregation that follows.
     """
-    rows = results.select("*", F.to_date("date").alias("day")).where(
-        "driverid IS NOT NULL AND year IS NOT NULL AND day IS NOT NULL"
-    )
     keys = ["driverid", "year", "roundnumber", "day", "mode"]
-    if partials:
-        cells = rows.groupBy(*keys).agg(*M.row_partials())
-        # A row without a round number makes its competitor eligible, but is in no statistics.
-        numbered = F.col("roundnumber").isNotNull()
-        cells = cells.select(
-            *keys, numbered.alias("numbered"), *[F.when(numbered, F.col(p)).alias(p) for p in M.PARTIALS]
-        )
-    else:
-        cells = rows.select(*keys).distinct()
+    # A row without a round number makes its competitor eligible, but is in no statistics.
+    numbered = F.col("roundnumber").isNotNull()
+    cells = _placeable(results).groupBy(*keys).agg(*M.row_partials()).select(
+        *keys, numbered.alias("numbered"), *[F.when(numbered, F.col(p)).alias(p) for p in M.PARTIALS]
+    )
     same_session = (
         (F.col("c.year") == F.col("i.year"))
         & F.col("c.roundnumber").eqNullSafe(F.col("i.roundnumber"))
@@ -153,7 +155,7 @@ def window_stats(
     calendar = build_calendar(results, windows, year_start, year_stop, max_season_gap, inclusive)
     return (
         _window_rows(results, (last_rounds,), calendar)
-        .join(calendar.dates, "idx")
+        .join(F.broadcast(calendar.dates), "idx")
         .where(calendar.eligible(F.col("latest_year")))
         .select(*KEY, *M.METRICS)
     )
@@ -171,27 +173,36 @@ def feature_table(
     """All windows side by side, 43 columns per window, from one pass over the results.
 
     ``how='inner'`` keeps competitors with a session in every window, ``'left'`` all that have one in the
-    widest. A competitor's rows of all windows, at most one per window, are put side by side by an
-    aggregation that needs no shuffle, because the cells are already hashed by competitor.
+    widest. A window holds all rounds of the narrower ones, so a competitor's rows of one date, widest first,
+    are always the same windows, with the narrowest missing if any. They are put side by side by position in
+    that order, which needs no shuffle because the cells are already hashed by competitor.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     recent = tuple(sorted(n for n in windows if n is not None))
     calendar = build_calendar(results, recent, year_start, year_stop, max_season_gap, inclusive)
-    numbers = {CAREER if n is None else n: window_name(n) for n in windows}
-    widest = CAREER if None in windows else recent[-1]
-    found = F.map_from_entries(F.collect_list(F.struct("window", F.struct(*M.METRICS).alias("m"))))
+    widest_first = sorted((CAREER if n is None else n for n in windows), reverse=True)
+    names = {n: window_name(None if n == CAREER else n) for n in widest_first}
+    of_date = Window.partitionBy("driverid", "idx").orderBy(F.desc("window"))
+    found = F.struct(*M.METRICS)
     wide = (
         _window_rows(results, windows, calendar)
-        .groupBy("driverid", "idx")
-        .agg(F.max("latest_year").alias("latest_year"), found.alias("found"))
-        .where(F.size("found") == len(numbers) if how == "inner" else F.col("found")[widest].isNotNull())
+        .select(
+            "driverid",
+            "idx",
+            "latest_year",
+            "window",
+            found.alias(names[widest_first[0]]),
+            *[F.lead(found, i).over(of_date).alias(names[n]) for i, n in enumerate(widest_first) if i],
+        )
+        .where(F.col("window") == widest_first[0])
     )
+    if how == "inner":
+        wide = wide.where(F.col(names[widest_first[-1]]).isNotNull())
     return (
-        wide.join(calendar.dates, "idx")
+        wide.join(F.broadcast(calendar.dates), "idx")
         .where(calendar.eligible(F.col("latest_year")))
-        .select(*KEY, *[F.expr(f"found[{n}]").alias(name) for n, name in numbers.items()])
-        .select(*KEY, *[F.expr(f"{w}.{m} AS {m}_{w}") for w in numbers.values() for m in M.METRICS])
+        .select(*KEY, *[F.expr(f"{w}.{m} AS {m}_{w}") for w in names.values() for m in M.METRICS])
     )
 
 
@@ -228,17 +239,23 @@ def eligible_entities(
 ) -> DataFrame:
     """(dt_ref, driverid) of all competitors seen in the season of the date or up to the gap before it."""
     calendar = build_calendar(results, (), year_start, year_stop, max_season_gap, inclusive)
+    seen = _placeable(results).select("driverid", "year", "day").distinct()
+    place = calendar.index.groupBy("year", "day").agg(F.min("lo").alias("lo"), F.min("season_end").alias("season_end"))
     by_time = Window.partitionBy("driverid").orderBy("lo")
     upto = by_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = _cells(results, calendar, partials=False).select(
-        "driverid",
-        "lo",
-        _until_next_session(by_time).alias("until"),
-        F.max("year").over(upto).alias("latest_year"),
+    spans = (
+        seen.join(place, ["year", "day"])
+        .repartition(_tasks(results.sparkSession), "driverid")
+        .select(
+            "driverid",
+            "lo",
+            _until_next_session(by_time).alias("until"),
+            F.max("year").over(upto).alias("latest_year"),
+        )
     )
     return (
-        _dates_of(seen, "lo", "until")
-        .join(calendar.dates, "idx")
+        _dates_of(spans, "lo", "until")
+        .join(F.broadcast(calendar.dates), "idx")
         .where(calendar.eligible(F.col("latest_year")))
         .select(*KEY)
     )
@@ -256,7 +273,7 @@ def past_sessions(
     return (
         _dates_of(dated, "lo", "last")
         .drop("lo", "last", "day")
-        .join(calendar.dates, "idx")
+        .join(F.broadcast(calendar.dates), "idx")
         .select("dt_ref", "ref_year", *results.columns)
     )
 

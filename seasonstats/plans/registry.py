@@ -33,7 +33,6 @@ SQL: dict[str, str] = {}
 FIRST, LAST = fixtures.YEARS
 ABT_RANGE = ("1995-01-01", "2002-01-01")
 RESULT_COLUMNS = ["year", "roundnumber", "mode", "date", "driverid", "status", "position", "gridposition", "points"]
-QUERY_TREES = 40  # a model for queries; ``forest.TREES`` is the full size
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -354,7 +353,7 @@ def _fitted(spark: SparkSession, sf_dir: str):
     base = materialize(_abt(spark, sf_dir), "abt")
     sets = materialize(sampling.training_sets(base, OOT), "sets")
     train = sets.where(F.col("split") == "train")
-    return sets, forest.fit(train, sampling.feature_names(sets), trees=QUERY_TREES)
+    return sets, forest.fit(train, sampling.feature_names(sets))
 
 
 @query()
@@ -373,5 +372,5 @@ def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit on everything, store as a version, load the latest and score."""
     base = materialize(_abt(spark, sf_dir), "abt")
     folder = new_folder(spark, "models")
-    forest.save_version(forest.fit_final(base, trees=QUERY_TREES), spark, folder)
+    forest.save_version(forest.fit_final(base), spark, folder)
     return forest.score(forest.load_latest(spark, folder), base)
