@@ -237,9 +237,10 @@ def eligible_entities(
     max_season_gap: int = 2,
     inclusive: bool = True,
 ) -> DataFrame:
-    """(dt_ref, driverid) of all competitors seen in the season of the date or up to the gap before it."""
+    """(dt_ref, driverid) of all competitors seen in the season of the date or up to the gap before it. Rows
+    without a competitor appear as one competitor NULL, who is in no statistics."""
     calendar = build_calendar(results, (), year_start, year_stop, max_season_gap, inclusive)
-    seen = _placeable(results).select("driverid", "year", "day").distinct()
+    seen = results.select("driverid", "year", F.to_date("date").alias("day")).dropna(subset=["year", "day"]).distinct()
     place = calendar.index.groupBy("year", "day").agg(F.min("lo").alias("lo"), F.min("season_end").alias("season_end"))
     by_time = Window.partitionBy("driverid").orderBy("lo")
     upto = by_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)

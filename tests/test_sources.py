@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from seasonstats.schema import LANDED, RESULTS
+from seasonstats.sources import results as S
+from seasonstats.sources.shared import materialize, new_folder, shared_folder, write_table
+from tests.conftest import row, rows_of
+
+
+def test_normalise_names_types_nan_and_missing_columns(spark):
+    raw = spark.createDataFrame(
+        [(2020, 3, "a", float("nan"), 2.0, "x")],
+        "Year int, RoundNumber int, DriverId string, GridPosition double, Position float, Q1 string",
+    )
+    rows = S.normalise(raw)
+    assert rows.schema.simpleString() == RESULTS.simpleString()
+    found = rows.first()
+    assert (found["year"], found["driverid"], found["gridposition"], found["position"]) == (2020, "a", None, 2.0)
+    assert found["points"] is None
+
+
+def test_nan_grid_is_no_overtake(spark):
+    raw = spark.createDataFrame([(1.0, float("nan"))], "Position double, GridPosition double")
+    assert S.normalise(raw).where("position < gridposition").count() == 0
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_normalise_turns_an_instant_into_utc(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        raw = spark.sql("SELECT timestamp_micros(1604210400123456) AS Date")  # 2020-11-01 06:00:00.123456 UTC
+        assert S.normalise(raw).first()["date"] == dt.datetime(2020, 11, 1, 6, 0, 0, 123456)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_nanoseconds_are_cut_not_rounded(spark):
+    nanos = [0, 999, 1_000, 1_704_509_521_017_946_999, -1]
+    found = spark.createDataFrame([(n,) for n in nanos], "n long").select(S.micros_from_nanos(F.col("n")).alias("ts"))
+    epoch = dt.datetime(1970, 1, 1)
+    expected = [epoch + dt.timedelta(microseconds=n // 1000) for n in nanos]
+    assert [r["ts"] for r in found.collect()] == expected
+
+
+def test_season_filter(table):
+    rows = table([row(f"{y}-01-01", "a", mode=m) for y in range(2000, 2005) for m in ("Race", "Sprint")])
+    years = lambda df: sorted({r["year"] for r in df.collect()})
+    assert years(S.season_filter(rows, years=[2001, 2004])) == [2001, 2004]
+    assert years(S.season_filter(rows, start=2001, stop=2003)) == [2001, 2002, 2003]
+    assert S.season_filter(rows, modes=["S"]).select("mode").distinct().collect()[0]["mode"] == "Sprint"
+    assert S.season_filter(rows).count() == 10
+
+
+def test_until_date_reaches_the_scan(spark, table):
+    stored = materialize(table([row("2000-01-01", "a"), row("2000-01-02", "a")]), "results")
+    early = S.until_date(stored, "2000-01-01")
+    assert early.count() == 1
+    assert "LessThan(date" in early._jdf.queryExecution().executedPlan().toString().replace("IsNotNull(date), ", "")
+
+
+def test_file_label(table):
+    rows = table([row("2020-01-01", "a", round_=3), row("2020-01-01", "a", round_=12, mode="Sprint")])
+    assert sorted(r["file"] for r in S.landing_manifest(rows).collect()) == ["2020_03_R.parquet", "2020_12_S.parquet"]
+
+
+def test_landing_a_session_again_replaces_it_alone(spark, table):
+    folder = new_folder(spark, "landing")
+    S.land(table([row("2020-01-01", "a"), row("2020-01-01", "b"), row("2020-02-01", "a", round_=2)]), folder)
+    S.land(table([row("2020-01-01", "a", points=9.0)]), folder)
+    found = S.read_results(spark, folder, LANDED)
+    assert sorted((r["roundnumber"], r["driverid"], r["points"]) for r in found.collect()) == [(1, "a", 9.0), (2, "a", 0.0)]
+    assert found.where("landed_at IS NULL").count() == 0
+
+
+def test_latest_landing_drops_withdrawn_rows(table):
+    first = table([row("2020-01-01", "a"), row("2020-01-01", "b"), row("2020-02-01", "b", round_=None)])
+    second = table([row("2020-01-01", "a", points=5.0)])
+    at = lambda df, day: df.withColumn("landed_at", F.lit(day).cast("timestamp"))
+    latest = S.latest_by_key(at(first, "2021-01-01").unionByName(at(second, "2021-01-02")))
+    found = {(r["driverid"], r["roundnumber"], r["points"]) for r in latest.collect()}
+    assert found == {("a", 1, 5.0), ("b", None, 0.0)}
+
+
+def test_rounds_stop_at_the_first_without_a_race(table):
+    races = {2020: [1, 2, 4], 2021: [2, 3], 2022: [1, 2, 3]}
+    rows = [row(f"{y}-01-01", "a", round_=r) for y, held in races.items() for r in held]
+    rows += [row("2020-01-01", "a", round_=3, mode="Sprint"), row("2022-01-01", "a", round_=2, mode="Sprint")]
+    kept = S.contiguous_rounds(table(rows))
+    assert sorted((r["year"], r["roundnumber"], r["mode"]) for r in kept.collect()) == [
+        (2020, 1, "Race"), (2020, 2, "Race"),
+        (2022, 1, "Race"), (2022, 2, "Race"), (2022, 2, "Sprint"), (2022, 3, "Race"),
+    ]
+
+
+def test_enrich(spark, table):
+    sessions = spark.createDataFrame([(2020, 1, "Race", "Brazil")], "year long, roundnumber long, mode string, country string")
+    found = S.enrich(table([row("2020-01-01", "a"), row("2020-01-01", "b")]), sessions)
+    assert [r["country"] for r in found.collect()] == ["Brazil", "Brazil"]
+
+
+def test_empty_batch(table):
+    none = table([])
+    assert S.landing_manifest(none).count() == 0
+    assert S.contiguous_rounds(none).count() == 0
+
+
+def test_write_table_refreshes_in_full(spark, table):
+    path = new_folder(spark, "table")
+    write_table(table([row("2020-01-01", "a"), row("2020-01-01", "b")]), path)
+    assert write_table(table([row("2020-01-01", "c")]), path, ["year"]).count() == 1
+
+
+def test_materialize_keeps_rows_and_types(table):
+    df = table([row("2020-01-01", "a"), row(None, None, year=None, round_=None)])
+    stored = materialize(df, "copy")
+    assert stored.schema.simpleString() == df.schema.simpleString()
+    assert rows_of(stored) == rows_of(df)
+
+
+def test_shared_folder_is_the_checkpoint_folder(spark):
+    folder = shared_folder(spark)
+    assert folder == spark.conf.get("spark.checkpoint.dir", None) or folder == spark.sparkContext.getCheckpointDir()
