@@ -99,31 +99,54 @@ def _career_rows(cells: DataFrame) -> DataFrame:
 def _recent_rows(cells: DataFrame, windows: tuple[int, ...]) -> DataFrame:
     """Sums per (competitor, reference date, window), over the rounds inside the window.
 
-    A season is counted by the first cell that covers the date, so the number of seasons adds up like the rest.
+    A cell is repeated for the dates at which the widest window holds its round, once, and counted for the
+    narrowest window that does; the few rows this leaves per date are then added up into every window that
+    contains theirs. A season is counted by the first cell that covers the date, so that the number of seasons
+    adds up like the rest. Both aggregations find their rows already hashed by competitor.
     """
+    windows = tuple(sorted(windows))
+    widest = windows[-1]
     earlier = (
         Window.partitionBy("driverid", "year", "numbered")
         .orderBy("lo")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-
-    def span(n: int) -> Column:
-        opens = F.when(F.col("numbered"), F.greatest(F.col("lo"), F.max(f"end_{n}").over(earlier)))
-        return F.struct(F.lit(n).alias("window"), (F.col(f"end_{n}") - 1).alias("until"), opens.alias("opens"))
-
-    partials = [c for c in cells.columns if not c.startswith("end_")]
-    in_windows = cells.select(*partials, *[span(n).alias(f"in_{n}") for n in windows]).select(
-        *partials, F.inline(F.array(*[f"in_{n}" for n in windows]))
+    opens = {
+        n: F.when(F.col("numbered"), F.greatest(F.col("lo"), F.max(f"end_{n}").over(earlier))) for n in windows
+    }
+    placed = cells.select(
+        "*", (F.col(f"end_{widest}") - 1).alias("until"), *[c.alias(f"opens_{n}") for n, c in opens.items()]
     )
-    return (
-        _dates_of(in_windows, "lo", "until")
-        .groupBy("driverid", "idx", "window")
+    narrowest = reduce(
+        lambda wider, n: F.when(F.col("idx") < F.col(f"end_{n}"), n).otherwise(wider),
+        reversed(windows[:-1]),
+        F.lit(widest),
+    )
+    by_band = (
+        _dates_of(placed, "lo", "until")
+        .groupBy("driverid", "idx", narrowest.alias("window"))
         .agg(
             F.max("year").alias("latest_year"),
-            F.count_if(F.col("idx") >= F.col("opens")).alias(M.SEASONS),
+            *[F.count_if(F.col("idx") >= F.col(f"opens_{n}")).alias(f"seasons_{n}") for n in windows],
             *M.slice_sums(),
         )
     )
+    if len(windows) == 1:
+        return by_band.withColumnRenamed(f"seasons_{widest}", M.SEASONS)
+    containing = F.filter(F.array(*map(F.lit, windows)), lambda n: n >= F.col("band"))
+    seasons = reduce(
+        lambda other, n: F.when(F.col("window") == n, F.col(f"seasons_{n}")).otherwise(other), windows, F.lit(None)
+    )
+    return (
+        by_band.withColumnRenamed("window", "band")
+        .withColumn("window", F.explode(containing))
+        .groupBy("driverid", "idx", "window")
+        .agg(
+            F.max("latest_year").alias("latest_year"),
+            F.sum(seasons).alias(M.SEASONS),
+            *[F.expr(f"sum({p}) AS {p}") for p in M.SLICED],
+        )
+    )
 
 
 def _window_rows(results: DataFrame, windows: tuple[int | None, ...], calendar: Calendar) -> DataFrame:
