@@ -19,7 +19,7 @@ from seasonstats.schema import MODES
 DEFAULT_WINDOWS: tuple[int | None, ...] = (None, 10, 20, 40)
 CAREER = 2**31 - 1  # the career as a number of last rounds: more than there are
 KEY = ["dt_ref", "driverid"]
-TASKS_PER_PARTITION = 4
+TASKS_PER_CORE = 4
 
 
 def window_name(last_rounds: int | None) -> str:
@@ -27,11 +27,11 @@ def window_name(last_rounds: int | None) -> str:
 
 
 def _tasks(spark: SparkSession) -> int:
-    """Partitions for cells. A cell grows into a row per reference date, so there are several times more than
-    for an ordinary shuffle, and a fixed number: sized by the shuffled cells, as adaptive coalescing would,
-    the tasks would come out far too few, and their aggregations would spill."""
-    usual = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return TASKS_PER_PARTITION * usual
+    """Partitions for cells: as many as for any shuffle, but several per core at least. A fixed number, because
+    a cell grows into a row per reference date: sized by the shuffled cells, as adaptive coalescing would, the
+    tasks would come out far too few, and their aggregations would spill."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
 
 
 def _placeable(results: DataFrame) -> DataFrame:
