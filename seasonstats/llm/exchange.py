@@ -102,7 +102,12 @@ def send(
     def with_replies(key, table, said):
         return cut(key[0].as_py(), find(table, *gathered(said, reply_kind)))
 
-    return dealt.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInArrow(with_replies, _MESSAGE)
+    return with_their_replies(dealt, replies, buckets).applyInArrow(with_replies, _MESSAGE)
+
+
+def with_their_replies(dealt: DataFrame, replies: DataFrame, buckets: int):
+    """Documents and replies of each bucket side by side; only the replies are shuffled."""
+    return dealt.groupBy("bucket").cogroup(replies.repartition(buckets, "bucket").groupBy("bucket"))
 
 
 def gathered(said: pa.Table, kind: type | None) -> tuple[np.ndarray, np.ndarray | None]:

@@ -189,6 +189,6 @@ def remove_repeated_passages(
         )
 
     schema = "doc_id long, n_words long, n_removed long, kept_text string"
-    return dealt.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInArrow(removed, schema)
+    return X.with_their_replies(dealt, replies, buckets).applyInArrow(removed, schema)
 
 

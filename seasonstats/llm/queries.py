@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonstats.llm import exact, mixing, passages
+from seasonstats.llm import exact, jaccard, mixing, packing, passages, tokenfile
 from seasonstats.llm.shipping import ship
+from seasonstats.sources.shared import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +26,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -49,3 +56,20 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = passages.remove_repeated_passages(_read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query()
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_classes(_read(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_folder(spark, "token_file")
+    tokenfile.write_token_file(_read(spark, sf_dir, "documents"), target, tokenizer_path())
+    return tokenfile.read_token_file(spark, target)
+
+
+@query()
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path())
