@@ -50,10 +50,10 @@ def closest_multiset(counts: dict[int, int], room: int) -> dict[int, int]:
 def fill_windows(counts: dict[int, int], size: int, least_left: int = 0) -> Iterator[tuple[dict[int, int], int]]:
     """(counts of lengths, how many windows of this kind), taken out of ``counts`` until ``least_left`` rests stay.
 
-    Windows that cannot be filled are left for the caller once nothing else fits.
+    Rests of a length that opens no full window are set aside and left for the caller.
     """
     waiting = sum(counts.values())
-    while waiting > least_left:
+    while counts and waiting > least_left:
         longest = max(counts)
         counts[longest] -= 1
         rest = {k: c for k, c in counts.items() if c}
@@ -62,7 +62,8 @@ def fill_windows(counts: dict[int, int], size: int, least_left: int = 0) -> Iter
         kind = dict(chosen)
         kind[longest] = kind.get(longest, 0) + 1
         if sum(k * c for k, c in kind.items()) < size:
-            return
+            waiting -= counts.pop(longest)
+            continue
         times = min(counts[k] // c for k, c in kind.items())
         for k, c in kind.items():
             counts[k] -= c * times

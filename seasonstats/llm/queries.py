@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonstats.llm import exact, jaccard, mixing, packing, passages, tokenfile
+from seasonstats.llm import exact, hnsw, jaccard, langid, mixing, packing, passages, tokenfile
 from seasonstats.llm.shipping import ship
 from seasonstats.sources.shared import new_folder
 
@@ -73,3 +73,14 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify_languages(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest_vectors(_read(spark, sf_dir, "embeddings"))
