@@ -51,7 +51,7 @@ def _packed(values: np.ndarray) -> bytes:
     return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
 
 
-def _unpacked(data: bytes, kind: type) -> np.ndarray:
+def unpacked(data: bytes, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
     planes = np.frombuffer(data, np.uint8).reshape(width, -1)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
@@ -69,7 +69,7 @@ def _table(rows: list[tuple]) -> pa.Table:
 
 def _messages(table: pa.Table, kind: type | None) -> list[Message]:
     return [
-        Message(bucket, _unpacked(hashes, np.uint64), None if kind is None else _unpacked(extra, kind))
+        Message(bucket, unpacked(hashes, np.uint64), None if kind is None else unpacked(extra, kind))
         for bucket, hashes, extra in zip(*(table.column(c).to_pylist() for c in ("bucket", "hashes", "extra")), strict=True)
     ]
 
@@ -79,20 +79,21 @@ def send(
     reply_kind: type | None = None, limit: int = 1 << 64,
 ) -> DataFrame:
     """Messages of ``find(table[, hashes, extra]) -> (sorted hashes, extra)`` for every bucket, by range of hashes below
-    ``limit``. With ``replies`` it gets what they say for the bucket."""
+    ``limit``. With ``replies`` it gets what they say for the bucket. A list of (name, hashes, extra) sends messages under
+    other, negative names than the bucket's, too."""
 
-    def cut(bucket: int, found: tuple) -> pa.Table:
-        hashes, extra = found
-        if not len(hashes):
-            return _table([])
+    def cut(bucket: int, found: tuple | list) -> pa.Table:
         # Part p has the hashes from p * width on.
         width = -(-limit // buckets)
         bounds = np.array([min(p * width, (1 << 64) - 1) for p in range(1, buckets)], np.uint64)
-        at = [0, *np.searchsorted(hashes, bounds).tolist(), len(hashes)]
-        return _table([
-            (p, bucket, _packed(hashes[a:b]), None if kind is None else _packed(extra[a:b].astype(kind)))
-            for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a
-        ])
+        rows = []
+        for name, hashes, extra in found if isinstance(found, list) else [(bucket, *found)]:
+            at = [0, *np.searchsorted(hashes, bounds).tolist(), len(hashes)]
+            rows += [
+                (p, name, _packed(hashes[a:b]), None if kind is None else _packed(extra[a:b].astype(kind)))
+                for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a
+            ]
+        return _table(rows)
 
     if replies is None:
         return dealt.groupBy("bucket").applyInArrow(

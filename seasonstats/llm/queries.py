@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonstats.llm import exact, hnsw, jaccard, langid, mixing, packing, passages, tokenfile
+from seasonstats.llm import exact, hnsw, jaccard, langid, linededup, lm, mixing, packing, passages, tokenfile
 from seasonstats.llm.shipping import ship
 from seasonstats.sources.shared import new_folder
 
@@ -84,3 +84,32 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query(r"""
+WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                      generate_subscripts(string_split(text, chr(10)), 1) AS no
+               FROM documents WHERE text IS NOT NULL),
+  written AS (SELECT *, lead(line) OVER along AS next, row_number() OVER along AS place
+              FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') WINDOW along AS (PARTITION BY doc_id ORDER BY no)),
+  later AS (SELECT doc_id, place FROM written WHERE next IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY line, next ORDER BY doc_id, place) > 1),
+  gone AS (SELECT doc_id, place FROM later UNION SELECT doc_id, place + 1 FROM later),
+  marked AS (SELECT l.doc_id, l.no, l.line, g.doc_id IS NOT NULL AS removed
+             FROM lines l LEFT JOIN written w ON w.doc_id = l.doc_id AND w.no = l.no
+             LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.place = w.place),
+  kept AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE removed) AS n_removed,
+                  sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (WHERE NOT removed), '')) AS kept_sha256
+           FROM marked GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)""")
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.drop_repeated_runs(_read(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return kept.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
