@@ -163,13 +163,15 @@ def similarity_classes(
     held = sets.select(
         "node", "n", "own", size_class.alias("size"), F.explode(F.arrays_zip("grams", "places")).alias("at")
     ).select("node", "n", "own", "size", F.col("at.grams").alias("gram"), F.col("at.places").alias("place"))
+    held = materialize(held, "prefix_grams")
+    # Stored aggregates leave both sides of a join free to be split where a column is long.
     columns = held.groupBy("gram").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("gram")
-    held = materialize(held.join(columns, "gram"), "incidence")
+    held = materialize(held.join(materialize(columns, "columns"), "gram"), "incidence")
     leader = F.min(F.struct((F.col("own") / F.col("n")).alias("rare"), F.col("node").alias("a"), F.col("n").alias("na"),
                             F.col("place").alias("pa")))
     leaders = held.groupBy("gram", "size").agg(leader.alias("l")).select("gram", "size", "l.a", "l.na", "l.pa")
     # A leader meets its own class and the one below.
-    leaders = leaders.unionByName(leaders.withColumn("size", F.col("size") - 1))
+    leaders = materialize(leaders.unionByName(leaders.withColumn("size", F.col("size") - 1)), "leaders")
     side = held.select("gram", "size", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"))
     stars = side.join(leaders, ["gram", "size"]).where("a <> b")
     tried = materialize(_bounded(stars, over, under), "tried")
@@ -179,8 +181,9 @@ def similarity_classes(
     placed = held.join(merged, "node", "left").select(
         "gram", "node", "n", "place", F.coalesce("component", "node").alias("component")
     )
+    placed = materialize(placed, "placed")
     apart = placed.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    placed = materialize(placed.join(apart.select("gram"), "gram"), "apart")
+    placed = materialize(placed.join(materialize(apart.select("gram"), "split_columns"), "gram"), "apart")
     one = placed.select("gram", F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("component").alias("ca"))
     two = placed.select("gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
     rest = _bounded(one.join(two, "gram").where("ca < cb"), over, under)

@@ -31,6 +31,7 @@ def _written(lines: Column) -> Column:
 def _ranked(rows: DataFrame, key: list[str]) -> DataFrame:
     """``rows`` with the rank of their ``key`` as ``rank``, without those whose key occurs once."""
     groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("held")).where("held > 1").select(*key)
+    # The numbers are stored, so that the join may split a key that very many rows have.
     numbered = with_row_number(groups, [], [F.col(k) for k in key], "rank").select(*key, "rank")
     return materialize(rows.drop("rank").join(materialize(numbered, "ranks"), key).drop(*key), "suffixes")
 
@@ -58,7 +59,8 @@ def later_copies(docs: DataFrame, run: int = RUN, id_column: str = "doc_id", tex
         rows = _ranked(pairs.withColumnRenamed("rank", "begin"), ["begin", "then"])
         length += step
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "place")
-    firsts = rows.groupBy("rank").agg(F.min(at).alias("first"))
+    # Stored, so that the join may split a rank that very many suffixes have.
+    firsts = materialize(rows.groupBy("rank").agg(F.min(at).alias("first")), "firsts")
     later = rows.join(firsts, "rank").where(~F.col("first").eqNullSafe(at))
     gone = later.select("doc_id", "text_hash", F.explode(F.sequence("place", F.col("place") + run - 1)).alias("place"))
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("gone"))
