@@ -23,11 +23,6 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _written(lines: Column) -> Column:
-    """Numbers of the lines that are not blank."""
-    return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: lines[i].rlike(WRITTEN))
-
-
 def _ranked(rows: DataFrame, key: list[str]) -> DataFrame:
     """``rows`` with the rank of their ``key`` as ``rank``, without those whose key occurs once."""
     groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("held")).where("held > 1").select(*key)
@@ -37,33 +32,38 @@ def _ranked(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def later_copies(docs: DataFrame, run: int = RUN, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, text_hash, gone): of each document that holds any, the places, among its lines that are not blank, of
-    those within a run of at least ``run`` lines that also starts earlier."""
+    """(doc_id, text_hash, gone): of each document that holds any, the numbers, from 0, of the lines within a run of at
+    least ``run`` lines that also starts earlier."""
     texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).withColumn(
         "text_hash", F.xxhash64("text")
     )
     lines = _lines(F.col("text"))
-    placed = texts.select(
-        "doc_id", "text_hash", F.posexplode(F.filter(lines, lambda x: x.rlike(WRITTEN))).alias("place", "line")
-    )
+    numbered = F.transform(lines, lambda x, i: F.struct(i.alias("no"), x.alias("line")))
+    written = F.filter(numbered, lambda x: x["line"].rlike(WRITTEN))
+    placed = texts.select("doc_id", "text_hash", F.posexplode(written).alias("place", "at"))
     # Rows that agree in id and text are one document.
     placed = placed.select(
-        "doc_id", "text_hash", "place", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")
+        "doc_id", "text_hash", "place", F.array("at.no").alias("nos"), F.xxhash64("at.line").alias("a"),
+        F.xxhash64(F.lit(1), "at.line").alias("b"),
     ).distinct()
     rows = _ranked(materialize(placed, "lines"), ["a", "b"])
     length = 1
     while length < run:
         step = min(length, run - length)
         ahead = Window.partitionBy("doc_id", "text_hash").orderBy("place").rangeBetween(step, step)
-        pairs = rows.withColumn("then", F.first("rank").over(ahead)).where("`then` IS NOT NULL")
-        rows = _ranked(pairs.withColumnRenamed("rank", "begin"), ["begin", "then"])
+        pairs = rows.withColumn("more", F.first(F.struct("rank", "nos")).over(ahead)).where("more IS NOT NULL")
+        pairs = pairs.select(
+            "doc_id", "text_hash", "place", F.array_union("nos", "more.nos").alias("nos"), F.col("rank").alias("begin"),
+            F.col("more.rank").alias("then"),
+        )
+        rows = _ranked(pairs, ["begin", "then"])
         length += step
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "place")
     # Stored, so that the join may split a rank that very many suffixes have.
     firsts = materialize(rows.groupBy("rank").agg(F.min(at).alias("first")), "firsts")
     later = rows.join(firsts, "rank").where(~F.col("first").eqNullSafe(at))
-    gone = later.select("doc_id", "text_hash", F.explode(F.sequence("place", F.col("place") + run - 1)).alias("place"))
-    return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("gone"))
+    gone = later.select("doc_id", "text_hash", F.explode("nos").alias("no"))
+    return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("no").alias("gone"))
 
 
 def drop_repeated_runs(docs: DataFrame, run: int = RUN, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -79,18 +79,16 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN, id_column: str = "doc_id
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "gone"
     )
     named = docs.drop("n_lines", "n_removed")
-    text = F.col(text_column)
-    joined = named.withColumn("__text_hash", F.xxhash64(text)).join(
+    # Split before the join, whose output the lambda reads; a text in a lambda would be split again for every line.
+    split = named.withColumn("__text_hash", F.xxhash64(text_column)).withColumn(text_column, F.split(text_column, "\n", -1))
+    joined = split.join(
         gone, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left"
     )
-    lines = _lines(text)
-    written = _written(lines)
-    removed = F.transform("gone", lambda p: written[p])
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
-    # Only texts that lose lines are taken apart.
-    shorter = F.array_join(F.transform(kept, lambda i: lines[i]), "\n")
+    lines = F.col(text_column)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
+    left = F.when(F.col("gone").isNull(), lines).otherwise(F.transform(kept, lambda i: lines[i]))
     return joined.select(
-        *[F.when(F.col("gone").isNull(), text).otherwise(shorter).alias(c) if c == text_column else F.col(c) for c in named.columns],
-        F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        *[F.array_join(left, "\n").alias(c) if c == text_column else F.col(c) for c in named.columns],
+        F.when(lines.isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long").alias("n_removed"),
     )
