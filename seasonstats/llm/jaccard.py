@@ -1,13 +1,14 @@
 """Similarity join of documents on the sets of their word n-grams, exact at the given threshold.
 
-A set's n-grams are put in one order for all documents: a fixed part of all n-grams (by hash) by the number of documents
-that hold them, the rest by hash. Two sets that reach the threshold share an n-gram within the first quarter or so of
-both (the prefix), so that a document whose prefix holds nothing known from elsewhere has no partner.
-
-The prefixes of the others form the sparse document by n-gram incidence. Its product with itself is taken in blocks:
-first each column against one leader per size class, the document with the fewest n-grams of its own, then, after the
-documents linked so are merged, only between documents of a column that are not yet in one component. Pairs below the
-bounds from size and place are discarded before their sets are multiplied.
+Two sets that reach the threshold share an n-gram within the first quarter or so of both (the prefix), whatever order all
+n-grams are put in; in the order of how many sets hold them, a document whose prefix holds only n-grams of its own has no
+partner. This is judged twice: over all documents on a fixed half of the n-grams (by hash), then exactly among the sets
+that are left, equal sets being one.
+
+The prefixes form the sparse document by n-gram incidence. Its product with itself is taken in blocks: first each column
+against one leader per size class, the document whose n-grams are the most common, then, after the documents linked so
+are merged, only between documents of a column that are not yet in one component. Pairs below the bounds from size and
+place are discarded before their sets are multiplied.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from seasonstats.llm.text import gram_hashes, word_hashes, words
 from seasonstats.sources.shared import materialize
 
 WORDS, OVER, UNDER = 5, 3, 4  # five words, similarity of 3 / 4
-COUNTED = 1 << 63  # n-grams with hashes below are ordered by how many documents hold them
+COUNTED = 1 << 63  # n-grams with hashes below are counted over all documents
 
 
 def shingle_sets(texts: pa.Array, n: int = WORDS) -> list[np.ndarray]:
@@ -51,45 +52,32 @@ def _texts(table: pa.Table) -> pa.Array:
     return texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
 
 
-def _prefix(grams: np.ndarray, known: np.ndarray, counts: np.ndarray, over: int, under: int):
-    """(n-grams of its own, [(n-gram, place)] of the prefix that others may hold), or None if it has no partner."""
-    n = len(grams)
-    length = n - -(-n * over // under) + 1
-    counted = grams[: np.searchsorted(grams, np.uint64(COUNTED))]
-    held, at = X.found_at(counted, known)
-    own = len(counted) - int(held.sum())
-    if own >= length:
-        return None
-    shared, order = counted[held], np.lexsort((counted[held], counts[at[held]]))
-    prefix = np.concatenate([shared[order], grams[len(counted) :]])[: length - own]
-    return own, prefix, np.arange(own, length)
+def _prefix_length(n: int, over: int, under: int) -> int:
+    """So many first n-grams of a set of ``n`` are sure to hold one of any set that it links with."""
+    return n - -(-n * over // under) + 1
 
 
-_SETS = "doc_id long, n long, own long, grams array<long>, places array<int>, key string, members binary"
+_SETS = "doc_id long, n long, key string, members binary"
 
 
-def _survivors(table: pa.Table, known: np.ndarray, counts: np.ndarray, n: int, over: int, under: int) -> pa.Table:
-    ids = table.column("doc_id").to_pylist()
+def _survivors(table: pa.Table, known: np.ndarray, n: int, over: int, under: int) -> pa.Table:
+    """Every row's set size, and the set unless its n-grams of its own fill its prefix."""
     rows = []
-    for doc_id, grams in zip(ids, shingle_sets(_texts(table), n), strict=True):
-        found = _prefix(grams, known, counts, over, under) if len(grams) else None
-        if found is None:
-            rows.append((doc_id, len(grams), None, None, None, None, None))
+    for doc_id, grams in zip(table.column("doc_id").to_pylist(), shingle_sets(_texts(table), n), strict=True):
+        counted = grams[: np.searchsorted(grams, np.uint64(COUNTED))]
+        own = len(counted) - int(X.member(counted, known).sum())
+        if not len(grams) or own >= _prefix_length(len(grams), over, under):
+            rows.append((doc_id, len(grams), None, None))
         else:
-            own, prefix, places = found
             members = grams.tobytes()
-            rows.append(
-                (doc_id, len(grams), own, prefix.view(np.int64), places.astype(np.int32),
-                 xxhash.xxh3_128_hexdigest(members), members)
-            )
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.string(), pa.binary()]
-    names = ["doc_id", "n", "own", "grams", "places", "key", "members"]
+            rows.append((doc_id, len(grams), xxhash.xxh3_128_hexdigest(members), members))
+    kinds, names = [pa.int64(), pa.int64(), pa.string(), pa.binary()], ["doc_id", "n", "key", "members"]
     columns = zip(*rows, strict=True) if rows else [[]] * len(names)
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
-def prefix_sets(docs: DataFrame, n: int, over: int, under: int, id_column: str, text_column: str) -> DataFrame:
-    """Every row's set size and, if it may have a partner, its prefix and its set."""
+def surviving_sets(docs: DataFrame, n: int, over: int, under: int, id_column: str, text_column: str) -> DataFrame:
+    """Every row's set size and, if it may have a partner, its set."""
     buckets = X.bucket_count(docs, text_column)
     dealt = X.deal(docs, buckets, id_column, text_column)
 
@@ -97,18 +85,58 @@ def prefix_sets(docs: DataFrame, n: int, over: int, under: int, id_column: str,
         below = [s[: np.searchsorted(s, np.uint64(COUNTED))] for s in shingle_sets(_texts(table), n)]
         return np.unique(np.concatenate(below), return_counts=True) if below else (np.zeros(0, np.uint64), None)
 
-    def repeated(messages):
-        return X.totals(messages, 2)
-
     counts = X.send(dealt, buckets, counted, kind=np.uint32, limit=COUNTED)
-    known = X.answer(counts, repeated, np.uint32, np.uint32)
+    known = X.answer(counts, repeated, np.uint32)
 
     def survivors(_, table, said):
-        return _survivors(table, *X.gathered(said, np.uint32), n, over, under)
+        return _survivors(table, X.gathered(said, None)[0], n, over, under)
 
     return X.with_their_replies(dealt, known, buckets).applyInArrow(survivors, _SETS)
 
 
+def repeated(messages: list[X.Message]):
+    for bucket, hashes, _ in X.totals(messages, 2):
+        yield bucket, hashes, None
+
+
+def incidence(sets: DataFrame, over: int, under: int) -> DataFrame:
+    """(node, n, centre, grams, places): the prefixes of ``sets`` (node, n, members) that have n-grams in common with
+    another set. All n-grams are in the order of the number of sets that hold them; ``centre`` is the mean logarithm."""
+    buckets = X.bucket_count(sets, "members")
+    dealt = sets.select(
+        F.pmod(F.xxhash64("node"), F.lit(buckets)).cast("int").alias("bucket"), "node", "n", "members"
+    ).repartition(buckets, "bucket")
+
+    def members(table):
+        return [np.frombuffer(m, np.uint64) for m in table.column("members").to_pylist()]
+
+    def counted(table):
+        own = members(table)
+        return np.unique(np.concatenate(own), return_counts=True) if own else (np.zeros(0, np.uint64), None)
+
+    def prefixes(_, table, said):
+        known, counts = X.gathered(said, np.uint32)
+        rows = []
+        for node, grams in zip(table.column("node").to_pylist(), members(table), strict=True):
+            held, at = X.found_at(grams, known)
+            n, own = len(grams), len(grams) - int(held.sum())
+            length = _prefix_length(n, over, under)
+            if own < length:
+                shared, count = grams[held], counts[at[held]]
+                first = shared[np.lexsort((shared, count))][: length - own]
+                centre = float(np.log2(count).sum() / n)
+                rows.append((node, n, centre, first.view(np.int64), np.arange(own, own + len(first), dtype=np.int32)))
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+        names = ["node", "n", "centre", "grams", "places"]
+        columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    counts = X.send(dealt, buckets, counted, kind=np.uint32)
+    known = X.answer(counts, lambda messages: X.totals(messages, 2), np.uint32, np.uint32)
+    schema = "node long, n long, centre double, grams array<long>, places array<int>"
+    return X.with_their_replies(dealt, known, buckets).applyInArrow(prefixes, schema)
+
+
 def _overlaps(batches):
     """Pairs whose sets reach the threshold: one row of the left block against its rows of the right block at a time."""
     for batch in batches:
@@ -150,24 +178,23 @@ def similarity_classes(
     sets and no links. Rows with the same set are one node, so that copies are never paired. A row with a null id links
     others but has the least id that is not null as component, null if there is none. Other columns are not read.
     """
-    found = materialize(prefix_sets(docs, n, over, under, id_column, text_column), "prefixes")
+    found = materialize(surviving_sets(docs, n, over, under, id_column, text_column), "survivors")
     # Equal sets: one node, numbered by its least id, or apart from all ids by its key if it has none.
     alike = found.where("key IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("own").alias("own"),
-        F.first("grams").alias("grams"), F.first("places").alias("places"), F.first("members").alias("members"),
+        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("members").alias("members")
     )
     node = F.coalesce("least", -1 - F.shiftrightunsigned(F.xxhash64("key"), 2))
     sets = materialize(alike.withColumn("node", node), "sets")
     # Sets whose sizes allow a link are in the same or in neighbouring classes.
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(under / over)).cast("int")
-    held = sets.select(
-        "node", "n", "own", size_class.alias("size"), F.explode(F.arrays_zip("grams", "places")).alias("at")
-    ).select("node", "n", "own", "size", F.col("at.grams").alias("gram"), F.col("at.places").alias("place"))
+    held = incidence(sets, over, under).select(
+        "node", "n", "centre", size_class.alias("size"), F.explode(F.arrays_zip("grams", "places")).alias("at")
+    ).select("node", "n", "centre", "size", F.col("at.grams").alias("gram"), F.col("at.places").alias("place"))
     held = materialize(held, "prefix_grams")
     # Stored aggregates leave both sides of a join free to be split where a column is long.
     columns = held.groupBy("gram").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("gram")
     held = materialize(held.join(materialize(columns, "columns"), "gram"), "incidence")
-    leader = F.min(F.struct((F.col("own") / F.col("n")).alias("rare"), F.col("node").alias("a"), F.col("n").alias("na"),
+    leader = F.min(F.struct((-F.col("centre")).alias("far"), F.col("node").alias("a"), F.col("n").alias("na"),
                             F.col("place").alias("pa")))
     leaders = held.groupBy("gram", "size").agg(leader.alias("l")).select("gram", "size", "l.a", "l.na", "l.pa")
     # A leader meets its own class and the one below.
