@@ -72,6 +72,7 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     others = probed.where("__maybe")
     best = F.min(F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("n"), "doc_id", "row"))
     groups = others.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
+    groups = materialize(groups, "groups")  # a stored side leaves the join free to split a text with very many copies
     compared = others.join(groups, "text_sha256").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"),
         "text_sha256",
