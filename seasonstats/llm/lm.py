@@ -21,8 +21,8 @@ from seasonstats.llm.tokenfile import with_ends
 from seasonstats.sources.shared import materialize
 
 FOLDS = 10
-WINDOW, STRIDE = 32, 24  # a later window's first 8 places are context only
-CLASSES, WIDTH, OWN = 192, 16, 4096  # OWN: the most frequent subwords have a vector of their own besides their class's
+WINDOW, STRIDE = 32, 28  # a later window's first 4 places are context only
+CLASSES, WIDTH, OWN = 96, 16, 4096  # OWN: the most frequent subwords have a vector of their own besides their class's
 TRAINING_WINDOWS, EPOCHS, BATCH, RATE = 24_576, 2, 256, 0.01  # the bound of the sample that the weights are fitted on
 SCORED = 96  # windows at once, so that a batch stays in the processor's cache
 WORDS, SUBWORDS = -1, -2  # names of messages for no bucket
@@ -71,7 +71,8 @@ class Attention:
         q, k, v = np.split(x @ w["qkv"], 3, axis=2)
         q = q * np.float32(width**-0.5)
         a = q @ k.transpose(0, 2, 1)
-        np.clip(a, -60, 60, out=a)
+        if len(a) and max(a.max(), -a.min()) > 60:
+            np.clip(a, -60, 60, out=a)
         np.exp(a, out=a)
         a *= self.seen[:t, :t]
         a /= a.sum(axis=2, keepdims=True)
@@ -81,7 +82,7 @@ class Attention:
     def _logits(self, hidden: np.ndarray, group: np.ndarray) -> np.ndarray:
         out = hidden @ self.w["out"]
         out += self.w["pairs"][group]
-        return np.clip(out, -60, 60, out=out)
+        return out if len(out) and out.max() < 60 else np.clip(out, -60, 60, out=out)
 
     def gradients(self, ids: np.ndarray, target: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         w, width = self.w, self.w["back"].shape[0]
@@ -162,17 +163,16 @@ class Attention:
         return total / np.log(10)
 
 
-def _lowered(table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Words of a table's texts with A-Z in lower case, distinct again."""
-    texts = table.column("text")
-    known, codes, offsets = words(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts)
+def _lowered(part: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words of the texts with A-Z in lower case, distinct again. The tokenizer reads lower case too."""
+    known, codes, offsets = words(part.column("text"))
     low = pc.ascii_lower(known).dictionary_encode()
     return low.dictionary, low.indices.to_numpy()[codes], offsets
 
 
 def _counted(table: pa.Table, path: str) -> list:
     """Training counts of a bucket's words and subwords; words that only others have are asked for with 0."""
-    known, codes, offsets = _lowered(table)
+    known, codes, offsets = _lowered(table.combine_chunks().to_batches()[0])
     learnt = np.repeat(table.column("learn").to_numpy(zero_copy_only=False), np.diff(offsets))
     counts = np.bincount(codes[learnt], minlength=len(known))
     hashes = word_hashes(known)
@@ -266,23 +266,23 @@ def score_documents(
 
     def scored(_, table, said):
         hashes, counts = X.gathered(said, np.int64)
-        known, codes, offsets = _lowered(table)
-        found, at = X.found_at(word_hashes(known), hashes)
-        count = np.where(found, counts[at] if len(counts) else 0, 0)[codes]
-        upto = lambda v: np.diff(np.concatenate([[0], np.cumsum(v)])[offsets])
-        n = np.diff(offsets) + 1
-        base = upto(np.log10(count + 0.1)) + end_score - n * whole
-        scores = []
+        out = []
         for part in chunks(table):
-            scores.append(model.score(*with_ends(*subwords(path).encode(part.column("text")), end)))
-        learn = table.column("learn").to_numpy(zero_copy_only=False)
-        return pa.table(
-            {
-                "doc_id": table.column("doc_id"), "held_out": pa.array(~learn.astype(bool)), "n_tokens": pa.array(n),
-                "n_known": pa.array(upto(count > 0) + (ends > 0)), "train_tokens": pa.array(np.full(len(n), train_tokens)),
-                "base_score": pa.array(base), "score": pa.array(np.concatenate(scores) if scores else np.zeros(0)),
-            }
-        )
-
+            known, codes, offsets = _lowered(part)
+            found, at = X.found_at(word_hashes(known), hashes)
+            count = np.where(found, counts[at] if len(counts) else 0, 0)[codes]
+            upto = lambda v: np.diff(np.concatenate([[0], np.cumsum(v)])[offsets])  # noqa: B023, E731
+            n = np.diff(offsets) + 1
+            base = upto(np.log10(count + 0.1)) + end_score - n * whole
+            score = model.score(*with_ends(*subwords(path).encode_coded(known, codes, offsets), end))
+            learn = part.column("learn").to_numpy(zero_copy_only=False).astype(bool)
+            columns = [
+                part.column("doc_id"), pa.array(~learn), pa.array(n), pa.array(upto(count > 0) + (ends > 0)),
+                pa.array(np.full(len(n), train_tokens)), pa.array(base), pa.array(score),
+            ]
+            out.append(pa.RecordBatch.from_arrays(columns, names))
+        return pa.Table.from_batches(out)
+
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return X.with_their_replies(dealt, replies.where(F.col("bucket") >= 0), buckets).applyInArrow(scored, schema)

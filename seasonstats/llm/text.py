@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import itertools
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,7 +85,7 @@ class Subwords:
     together by whole arrays. Words of letters that the normaliser leaves alone go straight to the library's model.
     """
 
-    MOST_KEPT = 400_000  # words kept between batches; the rest is encoded again
+    MOST_KEPT = 1_200_000  # words kept between batches; the rest is encoded again
     ENDS = ".,;:!?"  # runs of these are a token split of their own after letters
 
     def __init__(self, path: str):
@@ -98,27 +98,27 @@ class Subwords:
         letters = [c for c in letters if c == c.lower() and c.isalpha() and unicodedata.is_normalized("NFC", c)]
         self.spelled = {ord(c): as_bytes.pre_tokenize_str(c)[0][0] for c in letters}
         self.plain = frozenset(letters)
-        self.kept: dict[str, list[int]] = {}
+        self.kept: dict[str, bytes] = {}
 
-    def _encode(self, found: list[str]) -> list[list[int]]:
-        """Ids of each word."""
+    def _encode(self, found: list[str]) -> list[bytes]:
+        """Ids of each word, four bytes each."""
         kept = self.kept
         if len(kept) > self.MOST_KEPT:
             kept.clear()
         plain, spelled, tokenize = self.plain.issuperset, self.spelled, self.model.tokenize
-        out, rest = [kept.get(w) for w in found], []
+        out, rest = list(map(kept.get, found)), []
         for i, ids in enumerate(out):
             if ids is None:
                 word = found[i]
                 if plain(word):
                     spelling = word if word.isascii() else word.translate(spelled)
-                    out[i] = kept[word] = [t.id for t in tokenize(spelling)]
+                    out[i] = kept[word] = array("i", [t.id for t in tokenize(spelling)]).tobytes()
                 else:
                     rest.append(i)
         if rest:
             encoded = self.tokenizer.encode_batch_fast([found[i] for i in rest], add_special_tokens=False)
             for i, e in zip(rest, encoded, strict=True):
-                out[i] = kept[found[i]] = e.ids
+                out[i] = kept[found[i]] = array("i", e.ids).tobytes()
         return out
 
     def encode_words(self, known: pa.Array) -> pa.ListArray:
@@ -133,7 +133,7 @@ class Subwords:
         ends = [w[n:] for w, n in zip(lower.take(pa.array(ended)).to_pylist(), cut[ended].tolist(), strict=True)]
         after = {e: i for i, e in enumerate(dict.fromkeys(ends))}
         # Every word is its stem's piece followed by its end's piece, the latter often the empty last one.
-        pieces = [*self._encode(whole.dictionary.to_pylist()), *self._encode(list(after)), []]
+        pieces = [*self._encode(whole.dictionary.to_pylist()), *self._encode(list(after)), b""]
         parts = np.full((len(known), 2), len(pieces) - 1)
         parts[:, 0] = whole.indices.to_numpy()
         parts[ended, 1] = [len(whole.dictionary) + after[e] for e in ends]
@@ -142,16 +142,19 @@ class Subwords:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's ids start and the last end)."""
-        known, codes, offsets = words(texts)
+        return self.encode_coded(*words(texts))
+
+    def encode_coded(self, known: pa.Array, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts given as ``words`` has them."""
         if not len(codes):
-            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         lists = self.encode_words(known).take(pa.array(codes))
         return lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)[offsets]
 
 
-def _lists(pieces: list[list[int]]) -> pa.ListArray:
-    ends = np.cumsum(np.fromiter(map(len, pieces), np.int32, len(pieces)), dtype=np.int32)
-    flat = np.fromiter(itertools.chain.from_iterable(pieces), np.int32, ends[-1])
+def _lists(pieces: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum(np.fromiter(map(len, pieces), np.int32, len(pieces)) // 4, dtype=np.int32)
+    flat = np.frombuffer(b"".join(pieces), np.int32)
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat))
 
 
