@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seasonstats.llm.text import chunks
+from seasonstats.sources.shared import materialize
 
 UNDETERMINED = "und"
 LENGTHS = (1, 2, 3)
@@ -140,7 +141,8 @@ def training_texts(docs: DataFrame, lang_column: str, learn: Column, id_column:
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang"),
         F.xxhash64(F.lit(7), F.col(id_column)).alias("draw"),
     )
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # A row per language, stored: so small a table is broadcast, and no text is shuffled to be drawn or not.
+    counts = materialize(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     # About three times as many as needed, so that the exact choice orders few rows of a language.
     part = F.least(F.lit(1.0), F.lit(3.0 * most) / F.col("n"))
     drawn = usable.join(counts, "lang").where(F.pmod("draw", F.lit(1 << 20)) < F.ceil(part * (1 << 20)))
