@@ -7,21 +7,26 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-START, STOP = "2000-01-01", "2026-01-01"
+START, STOP = None, None  # all dates
 
 
-def abt(features: DataFrame, champions: DataFrame, start: str = START, stop: str = STOP) -> DataFrame:
-    """Feature rows with ``start <= dt_ref < stop`` and ``flchampion`` 1 or 0.
+def abt(features: DataFrame, champions: DataFrame, start: str | None = START, stop: str | None = STOP) -> DataFrame:
+    """Feature rows with ``start <= dt_ref < stop`` (a bound that is None is open) and ``flchampion`` 1 or 0.
 
-    The champions are cut to the seasons of the date range, one row per season, so there are at most as many
-    as the range has years, and they are broadcast: the wide feature rows are not shuffled.
+    There is one champion a season, at most as many as there are years, and they are broadcast: the wide feature rows
+    are not shuffled.
     """
-    first, last = dt.date.fromisoformat(start).year, dt.date.fromisoformat(stop).year
+    in_range = F.lit(True)
+    if start is not None:
+        champions = champions.where(F.col("year") >= dt.date.fromisoformat(start).year)
+        in_range = in_range & (F.col("dt_ref") >= F.lit(start).cast("date"))
+    if stop is not None:
+        champions = champions.where(F.col("year") <= dt.date.fromisoformat(stop).year)
+        in_range = in_range & (F.col("dt_ref") < F.lit(stop).cast("date"))
     winners = (
-        champions.where(F.col("year").between(first, last) & (F.col("rankdriver") == 1))
+        champions.where(F.col("rankdriver") == 1)
         .select(F.col("driverid").alias("winner"), F.col("year").alias("season"), "rankdriver")
     )
-    in_range = (F.col("dt_ref") >= F.lit(start).cast("date")) & (F.col("dt_ref") < F.lit(stop).cast("date"))
     won = (F.col("driverid") == F.col("winner")) & (F.year("dt_ref").cast("long") == F.col("season"))
     return (
         features.where(in_range)

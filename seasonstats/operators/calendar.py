@@ -15,10 +15,18 @@ from pyspark.sql import functions as F
 
 from seasonstats.sources.shared import materialize
 
-FIRST_SEASON, LAST_SEASON = 1991, 2026
+FIRST_SEASON, LAST_SEASON = None, None  # all seasons
 ROUND = ["year", "roundnumber"]
 
 
+def in_seasons(year_start: int | None, year_stop: int | None) -> Column:
+    """Whether the row has a season within the bounds; a bound that is None is open."""
+    inside = F.col("year").isNotNull()
+    if year_start is not None:
+        inside = inside & (F.col("year") >= year_start)
+    return inside if year_stop is None else inside & (F.col("year") <= year_stop)
+
+
 def session_days(results: DataFrame) -> DataFrame:
     """Distinct (year, roundnumber, day). Rows without a date belong to no reference date."""
     return (
@@ -37,9 +45,9 @@ def conflicting_dates(results: DataFrame) -> DataFrame:
     )
 
 
-def reference_dates(results: DataFrame, year_start: int = FIRST_SEASON, year_stop: int = LAST_SEASON) -> DataFrame:
+def reference_dates(results: DataFrame, year_start: int | None = FIRST_SEASON, year_stop: int | None = LAST_SEASON) -> DataFrame:
     return (
-        results.where(F.col("year").between(year_start, year_stop))
+        results.where(in_seasons(year_start, year_stop))
         .select(F.to_date("date").alias("dt_ref"), F.col("year").alias("ref_year"))
         .distinct()
     )
@@ -73,9 +81,9 @@ class Calendar:
         return F.col("ref_year") - latest_year <= self.max_season_gap
 
 
-def _numbered_days(sessions: DataFrame, year_start: int, year_stop: int, inclusive: bool) -> DataFrame:
+def _numbered_days(sessions: DataFrame, year_start: int | None, year_stop: int | None, inclusive: bool) -> DataFrame:
     # One row per day, at most 3,652,059 of them (years 1 to 9999): the window without a key is bounded.
-    in_range = F.col("year").between(year_start, year_stop)
+    in_range = in_seasons(year_start, year_stop)
     days = sessions.groupBy("day").agg(F.min(F.when(in_range, F.col("year"))).alias("ref_year"))
     earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
@@ -137,8 +145,8 @@ def _season_ends(sessions: DataFrame, days: DataFrame, max_season_gap: int) -> D
 def build_calendar(
     results: DataFrame,
     windows: tuple[int, ...] = (),
-    year_start: int = FIRST_SEASON,
-    year_stop: int = LAST_SEASON,
+    year_start: int | None = FIRST_SEASON,
+    year_stop: int | None = LAST_SEASON,
     max_season_gap: int = 2,
     inclusive: bool = True,
 ) -> Calendar:
@@ -166,8 +174,8 @@ def build_calendar(
 
 def ranked_rounds(
     results: DataFrame,
-    year_start: int = FIRST_SEASON,
-    year_stop: int = LAST_SEASON,
+    year_start: int | None = FIRST_SEASON,
+    year_stop: int | None = LAST_SEASON,
     last: int | None = None,
     inclusive: bool = True,
 ) -> DataFrame:
@@ -183,6 +191,6 @@ def ranked_rounds(
 
 
 def last_rounds(
-    results: DataFrame, n: int, year_start: int = FIRST_SEASON, year_stop: int = LAST_SEASON, inclusive: bool = True
+    results: DataFrame, n: int, year_start: int | None = FIRST_SEASON, year_stop: int | None = LAST_SEASON, inclusive: bool = True
 ) -> DataFrame:
     return ranked_rounds(results, year_start, year_stop, n, inclusive).drop("rn")

@@ -167,8 +167,8 @@ def _window_rows(results: DataFrame, windows: tuple[int | None, ...], calendar:
 def window_stats(
     results: DataFrame,
     last_rounds: int | None = None,
-    year_start: int = FIRST_SEASON,
-    year_stop: int = LAST_SEASON,
+    year_start: int | None = FIRST_SEASON,
+    year_stop: int | None = LAST_SEASON,
     max_season_gap: int = 2,
     inclusive: bool = True,
 ) -> DataFrame:
@@ -191,8 +191,8 @@ def feature_table(
     results: DataFrame,
     windows: tuple[int | None, ...] = DEFAULT_WINDOWS,
     how: str = "inner",
-    year_start: int = FIRST_SEASON,
-    year_stop: int = LAST_SEASON,
+    year_start: int | None = FIRST_SEASON,
+    year_stop: int | None = LAST_SEASON,
     max_season_gap: int = 2,
     inclusive: bool = True,
 ) -> DataFrame:
@@ -258,8 +258,8 @@ def snapshot_stats(results: DataFrame, as_of: str, max_season_gap: int = 2) -> D
 
 def eligible_entities(
     results: DataFrame,
-    year_start: int = FIRST_SEASON,
-    year_stop: int = LAST_SEASON,
+    year_start: int | None = FIRST_SEASON,
+    year_stop: int | None = LAST_SEASON,
     max_season_gap: int = 2,
     inclusive: bool = True,
 ) -> DataFrame:
@@ -289,7 +289,7 @@ def eligible_entities(
 
 
 def past_sessions(
-    results: DataFrame, year_start: int = FIRST_SEASON, year_stop: int = LAST_SEASON, inclusive: bool = True
+    results: DataFrame, year_start: int | None = FIRST_SEASON, year_stop: int | None = LAST_SEASON, inclusive: bool = True
 ) -> DataFrame:
     """Every result repeated for every reference date from its own on. The output is dates times results:
     use it for small ranges of dates; the statistics do not need it."""
@@ -306,7 +306,7 @@ def past_sessions(
 
 
 def past_session_counts(
-    results: DataFrame, year_start: int = FIRST_SEASON, year_stop: int = LAST_SEASON
+    results: DataFrame, year_start: int | None = FIRST_SEASON, year_stop: int | None = LAST_SEASON
 ) -> DataFrame:
     """Number of results seen at each reference date: the size of ``past_sessions`` without building it."""
     calendar = build_calendar(results, (), year_start, year_stop)

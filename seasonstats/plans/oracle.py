@@ -13,7 +13,7 @@ RESULTS = """
 results AS MATERIALIZED (
   SELECT CAST(y AS BIGINT) AS year, CAST(m AS BIGINT) AS roundnumber, mode,
          CAST(make_date(y, m, CASE WHEN mode = 'Race' THEN 15 ELSE 14 END) AS TIMESTAMP) AS date,
-         CAST(l_suppkey AS VARCHAR) AS driverid,
+         l_suppkey || '-' || ((y - 1990 + l_suppkey % 4) // (1 + l_suppkey % 5)) AS driverid,
          CASE flag WHEN 'A' THEN 'Finished' WHEN 'N' THEN '+1 Lap' ELSE 'Retired' END AS status,
          CASE WHEN flag = 'R' AND l_suppkey % 2 = 0 THEN NULL ELSE place END AS position,
          CAST((quantity + l_suppkey) % 23 AS DOUBLE) AS gridposition,
@@ -25,8 +25,6 @@ results AS MATERIALIZED (
            CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) * 100 AS BIGINT) % 22 + 1 AS DOUBLE) AS place,
            CAST(sum(l_quantity) AS BIGINT) AS quantity, min(l_returnflag) AS flag
     FROM lineitem
-    WHERE (l_linestatus = 'O' OR month(l_shipdate) % 3 = 0)
-      AND year(l_shipdate) BETWEEN 1995 + l_suppkey % 4 AND 1995 + l_suppkey % 4 + l_suppkey % 5
     GROUP BY ALL))"""
 
 SESSIONS = """
@@ -72,28 +70,35 @@ def metric_sql() -> dict[str, str]:
 METRICS = metric_sql()
 METRIC_LIST = ",\n       ".join(f"{value} AS {name}" for name, value in METRICS.items())
 
+# From the definitions: a competitor counts at a date if some session of the date's season or the two before has been
+# held by then; a round's number is one more than the newer rounds held by then.
 DATED = f"""
 dim_dates AS MATERIALIZED (
-  SELECT DISTINCT CAST(date AS DATE) AS dt_ref, year AS ref_year FROM results
-  WHERE year BETWEEN {YEARS[0]} AND {YEARS[1]}),
-past AS MATERIALIZED (
-  SELECT d.dt_ref, d.ref_year, r.* FROM dim_dates d JOIN results r ON CAST(r.date AS DATE) <= d.dt_ref),
-eligible AS MATERIALIZED (SELECT DISTINCT dt_ref, driverid FROM past WHERE ref_year - year <= 2),
+  SELECT CAST(date AS DATE) AS dt_ref, min(year) AS ref_year FROM results
+  WHERE year >= {YEARS[0]} AND year <= {YEARS[1]} GROUP BY 1),
+rounds AS MATERIALIZED (
+  SELECT year, roundnumber, min(CAST(date AS DATE)) AS first_day FROM results GROUP BY year, roundnumber),
 ranked AS MATERIALIZED (
-  SELECT *, row_number() OVER (PARTITION BY dt_ref ORDER BY year DESC, roundnumber DESC) AS rn
-  FROM (SELECT DISTINCT dt_ref, year, roundnumber FROM past))"""
+  SELECT dt_ref, own.year, own.roundnumber,
+         1 + (SELECT count(*) FROM rounds newer WHERE newer.first_day <= dt_ref
+              AND (newer.year > own.year OR newer.year = own.year AND newer.roundnumber > own.roundnumber)) AS rn
+  FROM dim_dates, rounds own WHERE own.first_day <= dt_ref),
+debuts AS MATERIALIZED (
+  SELECT driverid, year, min(CAST(date AS DATE)) AS first_day FROM results GROUP BY driverid, year),
+eligible AS MATERIALIZED (
+  SELECT dt_ref, driverid FROM dim_dates, (SELECT DISTINCT driverid FROM results) who
+  WHERE EXISTS (FROM debuts WHERE debuts.driverid = who.driverid AND first_day <= dt_ref
+                AND year >= ref_year - 2 AND year <= ref_year))"""
 
 
 def stats_cte(name: str, last: int | None) -> str:
-    limit = "" if last is None else f"AND k.rn <= {last}"
+    among = "" if last is None else f"WHERE rn <= {last}"
     return f"""
 {name} AS MATERIALIZED (
-  SELECT p.dt_ref, p.driverid, {METRIC_LIST}
-  FROM past p
-  JOIN eligible e ON e.dt_ref = p.dt_ref AND e.driverid = p.driverid
-  JOIN (SELECT dt_ref AS d, year AS y, roundnumber AS r, rn FROM ranked) k
-    ON k.d = p.dt_ref AND k.y = p.year AND k.r = p.roundnumber {limit}
-  GROUP BY p.dt_ref, p.driverid)"""
+  SELECT dt_ref, driverid, {METRIC_LIST}
+  FROM (FROM ranked {among}) JOIN results USING (year, roundnumber)
+  WHERE CAST(date AS DATE) <= dt_ref AND (dt_ref, driverid) IN (SELECT (dt_ref, driverid) FROM eligible)
+  GROUP BY ALL)"""
 
 
 def window_sql(last: int | None) -> str:
@@ -117,10 +122,13 @@ POINTS = """
 season_points AS (
   SELECT year, driverid, sum(points) AS totalpoints FROM results
   WHERE mode IN ('Race', 'Sprint') GROUP BY year, driverid)"""
+# A competitor's place is one more than the competitors with more points, or as many and a lower id.
 RANKING = f"""{POINTS},
-season_ranking AS (
-  SELECT *, row_number() OVER (PARTITION BY year ORDER BY totalpoints DESC, driverid) AS rankdriver
-  FROM season_points),
+season_ranking AS MATERIALIZED (
+  SELECT own.*, 1 + (SELECT count(*) FROM season_points better WHERE better.year = own.year
+                     AND (better.totalpoints > own.totalpoints
+                          OR better.totalpoints = own.totalpoints AND better.driverid < own.driverid)) AS rankdriver
+  FROM season_points own),
 champions AS (SELECT * FROM season_ranking WHERE rankdriver = 1)"""
 
 ABT = f"""{WIDE}, {RANKING},

@@ -12,6 +12,7 @@ from seasonstats.operators import model as forest
 from seasonstats.operators.abt import abt
 from seasonstats.operators.calendar import last_rounds, ranked_rounds, reference_dates
 from seasonstats.operators.champions import champions, season_points, season_ranking
+from seasonstats.operators.features import past_sessions as expanded_sessions
 from seasonstats.operators.features import (
     eligible_entities,
     feature_table,
@@ -86,12 +87,12 @@ def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _corrections(results: DataFrame) -> DataFrame:
     """A second landing of every third round: a point more for all, and some competitors withdrawn."""
-    again = results.where("roundnumber % 3 = 0 AND CAST(driverid AS BIGINT) % 5 <> 0")
+    again = results.where("roundnumber % 3 = 0 AND CAST(substring_index(driverid, '-', 1) AS BIGINT) % 5 <> 0")
     return again.withColumn("points", F.col("points") + 1)
 
 
 _CORRECTED = """corrected AS (SELECT * REPLACE (points + 1 AS points) FROM results
-  WHERE roundnumber % 3 = 0 AND CAST(driverid AS BIGINT) % 5 <> 0)"""
+  WHERE roundnumber % 3 = 0 AND CAST(split_part(driverid, '-', 1) AS BIGINT) % 5 <> 0)"""
 _REPLACED = f"""WITH {O.RESULTS}, {_CORRECTED},
   landings AS (SELECT *, 1 AS landing FROM results UNION ALL SELECT *, 2 FROM corrected)
   SELECT * EXCLUDE (landing) FROM landings
@@ -164,12 +165,20 @@ def reference_dates_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reference_dates(_results(spark, sf_dir), FIRST, LAST)
 
 
-@query(f"""WITH {O.RESULTS}, {O.DATED} SELECT dt_ref, ref_year, count(*) AS results_seen FROM past
-    GROUP BY dt_ref, ref_year""")
-def past_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(f"""WITH {O.RESULTS}, {O.DATED} SELECT dt_ref, ref_year,
+    (SELECT count(*) FROM results WHERE CAST(date AS DATE) <= dt_ref) AS results_seen FROM dim_dates""")
+def past_session_counts_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return past_session_counts(_stored_results(spark, sf_dir), FIRST, LAST)
 
 
+@query(f"""WITH {O.RESULTS}, {O.DATED} SELECT dt_ref, driverid, count(*) AS sessions, sum(points) AS points
+    FROM dim_dates JOIN results ON CAST(date AS DATE) <= dt_ref WHERE ref_year = {LAST} GROUP BY ALL""")
+def past_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expansion itself (all results before a date, so for few dates), over the dates of the last season."""
+    seen = expanded_sessions(_stored_results(spark, sf_dir), LAST, LAST)
+    return seen.groupBy("dt_ref", "driverid").agg(F.count(F.lit(1)).alias("sessions"), F.sum("points").alias("points"))
+
+
 @query(f"WITH {O.RESULTS}, {O.DATED} SELECT * FROM eligible")
 def eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eligible_entities(_stored_results(spark, sf_dir), FIRST, LAST)
@@ -247,6 +256,10 @@ def _short_abt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(abt(last10, champions(results), *ABT_RANGE), "abt")
 
 
+def _stored_abt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(_abt(spark, sf_dir), "abt")
+
+
 @query(f"WITH {O.ABT} SELECT * FROM abt")
 def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _abt(spark, sf_dir)
@@ -256,6 +269,7 @@ def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OOT = fixtures.OOT_YEAR
 _YEARED = f"{O.SHORT_ABT}, yeared AS (SELECT *, year(dt_ref) AS year FROM abt)"
+_WIDE_YEARED = f"{O.ABT}, yeared AS (SELECT *, year(dt_ref) AS year FROM abt)"
 _DATES = f"""dated AS (SELECT year, dt_ref, row_number() OVER (PARTITION BY year ORDER BY dt_ref DESC) AS nth
   FROM (SELECT DISTINCT year, dt_ref FROM yeared WHERE year < {OOT}))"""
 _SPLIT = f"""split AS (
@@ -269,9 +283,9 @@ _SETS = f"""sets AS (
   UNION ALL SELECT *, 'oot' FROM yeared WHERE year = {OOT})"""
 
 
-@query(f"WITH {_YEARED} SELECT * FROM yeared WHERE year = {OOT}")
+@query(f"WITH {_WIDE_YEARED} SELECT * FROM yeared WHERE year = {OOT}")
 def oot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.out_of_time(_short_abt(spark, sf_dir), OOT)
+    return sampling.out_of_time(_stored_abt(spark, sf_dir), OOT)
 
 
 @query(f"WITH {_YEARED}, {_DATES} SELECT year, dt_ref FROM dated WHERE nth > 5")
@@ -289,9 +303,9 @@ def group_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.group_split(_short_abt(spark, sf_dir), OOT)
 
 
-@query(f"WITH {_YEARED}, {_DATES}, {_SPLIT}, {_SETS} SELECT * FROM sets")
+@query(f"WITH {_WIDE_YEARED}, {_DATES}, {_SPLIT}, {_SETS} SELECT * FROM sets")
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.training_sets(_short_abt(spark, sf_dir), OOT)
+    return sampling.training_sets(_stored_abt(spark, sf_dir), OOT)
 
 
 @query(f"""WITH {_YEARED}, {_DATES}, {_SPLIT}, {_SETS}
@@ -300,9 +314,9 @@ def split_label_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.label_rates(sampling.training_sets(_short_abt(spark, sf_dir), OOT))
 
 
-@query(f"WITH {_YEARED} SELECT * EXCLUDE year FROM yeared ORDER BY md5(concat_ws('|', '42', driverid, dt_ref)) LIMIT 5")
+@query(f"WITH {_WIDE_YEARED} SELECT * EXCLUDE year FROM yeared ORDER BY md5(concat_ws('|', '42', driverid, dt_ref)) LIMIT 5")
 def model_input_example(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.example_rows(_short_abt(spark, sf_dir))
+    return sampling.example_rows(_stored_abt(spark, sf_dir))
 
 
 # Profile, imputation, evaluation, model ---------------------------------------------------------------
@@ -335,18 +349,18 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT *, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
     FROM scores)""")
 def auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.auc(_scored(spark, sf_dir), "score")
+    return evaluation.auc(_scored(spark, sf_dir), "score", unscored="skip")
 
 
 @query(f"""WITH {_SCORED} SELECT score AS threshold, fp::DOUBLE / nn::DOUBLE AS fpr, tp::DOUBLE / pp::DOUBLE AS tpr FROM (
       SELECT score, p, n, sum(p) OVER so_far AS tp, sum(n) OVER so_far AS fp, sum(p) OVER () AS pp, sum(n) OVER () AS nn,
-             lead(p) OVER falling AS next_p, lead(n) OVER falling AS next_n
+             lead(p) OVER falling AS next_p, lead(n) OVER falling AS next_n, lag(p) OVER falling AS last_p
       FROM scores WINDOW falling AS (ORDER BY score DESC),
         so_far AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-    WHERE next_p IS NULL OR next_p <> p OR next_n <> n
+    WHERE next_p IS NULL OR next_p <> p OR next_n <> n OR last_p IS NULL
     UNION ALL SELECT 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE""")
 def roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.roc_points(_scored(spark, sf_dir), "score")
+    return evaluation.roc_points(_scored(spark, sf_dir), "score", unscored="skip")
 
 
 def _fitted(spark: SparkSession, sf_dir: str):

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seasonstats.schema import MODES, RACE, RESULTS, SESSION_KEY
 from seasonstats.sources.shared import materialize
 
-MAX_ROUND = 49  # fixed value: rounds are asked for up to this number
+MAX_ROUND = None  # no limit
 
 
 def read_results(spark: SparkSession, path: str, schema: T.StructType = RESULTS) -> DataFrame:
@@ -35,6 +35,8 @@ def normalise(rows: DataFrame, schema: T.StructType = RESULTS) -> DataFrame:
     """Lower-case names, the types of ``schema``, NaN as NULL, timestamps without zone. Columns that the
     source lacks become NULL, columns that ``schema`` lacks are dropped."""
     names = {c.lower(): c for c in rows.columns}
+    if len(names) < len(rows.columns):
+        raise ValueError("two columns have the same name but for the case of letters")
     types = dict(rows.dtypes)
     columns = []
     for field in schema.fields:
@@ -55,11 +57,13 @@ def season_filter(
     stop: int | None = None,
     modes: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Rows of the listed seasons, or of ``start`` to ``stop`` inclusive, in the listed modes (R, S or names)."""
+    """Rows of the listed seasons, or of ``start`` to ``stop`` inclusive (either may be left open), in the listed modes (R, S or names)."""
     if years is not None:
         rows = rows.where(F.col("year").isin(*years))
-    elif start is not None and stop is not None:
-        rows = rows.where(F.col("year").between(start, stop))
+    if start is not None:
+        rows = rows.where(F.col("year") >= start)
+    if stop is not None:
+        rows = rows.where(F.col("year") <= stop)
     if modes is not None:
         rows = rows.where(F.col("mode").isin(*[MODES.get(m, m) for m in modes]))
     return rows
@@ -85,10 +89,21 @@ def landing_manifest(rows: DataFrame) -> DataFrame:
 
 
 def enrich(rows: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Copy the attributes of each session to its rows. Sessions are few and are stored before the join, so
-    that their true size decides whether they are broadcast."""
+    """Copy the attributes of each session to its rows; rows of a session that is not listed stay, without them.
+
+    Sessions are few and are stored before the join, so that their true size decides whether they are broadcast. A
+    session that is listed twice is an error.
+    """
     extra = [c for c in sessions.columns if c not in SESSION_KEY]
-    return rows.drop(*extra).join(materialize(sessions, "sessions"), SESSION_KEY)
+    named = sessions.select(*[F.col(k).alias(f"{k}__of") for k in SESSION_KEY], *extra)
+    stored = materialize(named, "sessions")
+    keys = [f"{k}__of" for k in SESSION_KEY]
+    if stored.groupBy(*keys).count().where("`count` > 1").limit(1).count():
+        raise ValueError("a session is listed twice")
+    same = F.lit(True)
+    for k in SESSION_KEY:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}__of"))
+    return rows.drop(*extra).join(stored, same, "left").drop(*keys)
 
 
 def land(rows: DataFrame, path: str, landed_at: Column | None = None) -> None:
@@ -107,7 +122,8 @@ def land(rows: DataFrame, path: str, landed_at: Column | None = None) -> None:
 
 
 def latest_by_key(rows: DataFrame, key: list[str] = SESSION_KEY, landed: str = "landed_at") -> DataFrame:
-    """Rows of the newest landing of every session, so a row missing from the newest landing is gone.
+    """Rows of the newest landing of every session, so a row missing from the newest landing is gone. Rows without a
+    landing time count as one landing, older than all others.
 
     Landings are reduced to one row per session and stored; the rows are then compared with that small table
     rather than gathered by session, however many rows one session has.
@@ -116,22 +132,18 @@ def latest_by_key(rows: DataFrame, key: list[str] = SESSION_KEY, landed: str = "
     newest = materialize(newest, "newest_landings").select(
         *[F.col(k).alias(f"{k}__of") for k in key], "newest_landing"
     )
-    same = F.col(landed) == F.col("newest_landing")
+    same = F.col(landed).eqNullSafe(F.col("newest_landing"))
     for k in key:
         same = same & F.col(k).eqNullSafe(F.col(f"{k}__of"))
     return rows.join(newest, same, "left_semi")
 
 
-def contiguous_rounds(rows: DataFrame, max_round: int = MAX_ROUND) -> DataFrame:
-    """Rows of the rounds before the first round without a race in their season, up to ``max_round``."""
-    races = (
-        rows.where((F.col("mode") == RACE) & F.col("roundnumber").between(1, max_round))
-        .select("year", "roundnumber")
-        .distinct()
-    )
-    # At most ``max_round`` rows per season.
-    rounds = races.groupBy("year").agg(F.sort_array(F.collect_set("roundnumber")).alias("held"))
-    complete = rounds.select(
-        "year", F.posexplode("held").alias("before", "roundnumber")
-    ).where(F.col("roundnumber") == F.col("before") + 1)
-    return rows.join(materialize(complete.drop("before"), "complete_rounds"), ["year", "roundnumber"], "left_semi")
+def contiguous_rounds(rows: DataFrame, max_round: int | None = MAX_ROUND) -> DataFrame:
+    """Rows of the rounds before the first round without a race in their season, up to ``max_round`` if given."""
+    held = (F.col("mode") == RACE) & (F.col("roundnumber") >= 1)
+    if max_round is not None:
+        held = held & (F.col("roundnumber") <= max_round)
+    races = rows.where(held).select("year", "roundnumber").distinct()
+    number = F.row_number().over(Window.partitionBy("year").orderBy("roundnumber"))
+    complete = races.withColumn("nth", number).where(F.col("roundnumber") == F.col("nth")).drop("nth")
+    return rows.join(materialize(complete, "complete_rounds"), ["year", "roundnumber"], "left_semi")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from seasonstats.operators.model import DEFAULT_ID, score
-from seasonstats.schema import LANDED
+from seasonstats.schema import LANDED, SESSION_KEY
 from seasonstats.sources.results import normalise
 
 
@@ -27,22 +28,32 @@ def stream_results(
         reader = reader.option("sourceArchiveDir", archive)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return normalise(reader.parquet(source), schema)
+    rows = reader.parquet(source)
+    if "landed_at" in schema.names:  # files that do not say when they landed have the file's own time
+        rows = rows.withColumn("landed_at", F.coalesce("landed_at", F.col("_metadata.file_modification_time")))
+    return normalise(rows, schema)
 
 
-def append_table(rows: DataFrame, target: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def append_table(
+    rows: DataFrame, target: str, checkpoint: str, every: str | None = None, partition_by: list[str] | None = None
+) -> StreamingQuery:
     """Append a stream to a stored table: all that is there now, or for ever at an interval ('6 hours').
 
     The checkpoint makes each file arrive once, also after a failed run.
     """
     writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start(target)
 
 
 def ingest(spark: SparkSession, source: str, target: str, checkpoint: str, **options) -> None:
-    """One incremental run: append the files that came since the last run, then end."""
-    append_table(stream_results(spark, source, **options), target, checkpoint).awaitTermination()
+    """One incremental run: append the files that came since the last run, then end. The table is partitioned by
+    session, so that a season or a round is read alone."""
+    append_table(
+        stream_results(spark, source, **options), target, checkpoint, partition_by=SESSION_KEY
+    ).awaitTermination()
 
 
 def score_stream(

@@ -111,7 +111,15 @@ def test_roc_and_auc(spark, levels):
 def test_straight_pieces_of_the_curve_are_left_out(spark):
     df = spark.createDataFrame([(float(s), y) for s in range(10) for y in (0, 1)], "s double, y long")
     found = sorted(((r["threshold"], r["fpr"], r["tpr"]) for r in E.roc_points(df, "s", "y").collect()), reverse=True)
-    assert found == [(math.inf, 0.0, 0.0), (0.0, 1.0, 1.0)]
+    assert found == [(math.inf, 0.0, 0.0), (9.0, 0.1, 0.1), (0.0, 1.0, 1.0)]
+    assert E.roc_points(df, "s", "y", drop_intermediate=False).count() == 11
+
+
+def test_a_row_without_score_is_an_error_or_left_out(spark):
+    df = spark.createDataFrame([(1.0, 1), (0.0, 0), (None, 1)], "s double, y long")
+    with pytest.raises(Exception, match="no score"):
+        E.auc(df, "s", "y").collect()
+    assert E.auc(df, "s", "y", unscored="skip").first()["auc"] == 1.0
 
 
 def test_auc_without_positives_is_null(spark):

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from seasonstats.plans import registry
 from tests.conftest import SF, duck_rows, rows_of
 
 TABLES = (
@@ -22,7 +23,7 @@ def con():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
     expected, names = duck_rows(con, entry.oracle_sql()[name])
@@ -32,7 +33,8 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_queries_without_sql_are_model_queries():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"feature_importances", "model_auc", "model_scores"}
+    assert set(registry.QUERIES) <= set(entry.queries())
+    assert set(registry.QUERIES) - set(registry.SQL) == {"feature_importances", "model_auc", "model_scores"}
 
 
 def test_entry(spark):

@@ -54,6 +54,8 @@ def test_season_filter(table):
     assert years(S.season_filter(rows, start=2001, stop=2003)) == [2001, 2002, 2003]
     assert S.season_filter(rows, modes=["S"]).select("mode").distinct().collect()[0]["mode"] == "Sprint"
     assert S.season_filter(rows).count() == 10
+    assert years(S.season_filter(rows, start=2003)) == [2003, 2004]
+    assert years(S.season_filter(rows, stop=2000)) == [2000]
 
 
 def test_until_date_reaches_the_scan(spark, table):
@@ -86,6 +88,40 @@ def test_latest_landing_drops_withdrawn_rows(table):
     assert found == {("a", 1, 5.0), ("b", None, 0.0)}
 
 
+def test_rows_without_a_landing_time_are_the_oldest_landing(table):
+    plain = table([row("2020-01-01", "a"), row("2020-02-01", "b", round_=2)])
+    unknown = plain.withColumn("landed_at", F.lit(None).cast("timestamp"))
+    assert S.latest_by_key(unknown).count() == 2
+    again = table([row("2020-01-01", "c")]).withColumn("landed_at", F.lit("2021-01-01").cast("timestamp"))
+    assert sorted(r["driverid"] for r in S.latest_by_key(unknown.unionByName(again)).collect()) == ["b", "c"]
+
+
+def test_any_number_of_rounds(table):
+    rows = table([row("2020-01-01", "a", round_=r) for r in range(1, 61)])
+    assert S.contiguous_rounds(rows).count() == 60
+    assert S.contiguous_rounds(rows, 49).count() == 49
+
+
+def test_enrich_keeps_rows_of_unlisted_sessions(spark, table):
+    kind = "year long, roundnumber long, mode string, country string"
+    rows = table([row("2020-01-01", "a"), row("2020-02-01", "b", round_=2), row("2020-03-01", "c", round_=None)])
+    sessions = [(2020, 1, "Race", "Brazil"), (2020, None, "Race", "Spain")]
+    found = {r["driverid"]: r["country"] for r in S.enrich(rows, spark.createDataFrame(sessions, kind)).collect()}
+    assert found == {"a": "Brazil", "b": None, "c": "Spain"}
+    with pytest.raises(ValueError, match="twice"):
+        S.enrich(rows, spark.createDataFrame(sessions + sessions[:1], kind))
+
+
+def test_names_that_differ_in_case_are_refused(spark):
+    before = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(ValueError, match="same name"):
+            S.normalise(spark.createDataFrame([(1, 2)], "Year long, year long"))
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", before)
+
+
 def test_rounds_stop_at_the_first_without_a_race(table):
     races = {2020: [1, 2, 4], 2021: [2, 3], 2022: [1, 2, 3]}
     rows = [row(f"{y}-01-01", "a", round_=r) for y, held in races.items() for r in held]
