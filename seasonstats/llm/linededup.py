@@ -81,8 +81,9 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN, id_column: str = "doc_id
     named = docs.drop("n_lines", "n_removed")
     # Split before the join, whose output the lambda reads; a text in a lambda would be split again for every line.
     split = named.withColumn("__text_hash", F.xxhash64(text_column)).withColumn(text_column, F.split(text_column, "\n", -1))
+    # By shuffle at every size: these numbers grow with the documents, so a broadcast would only hold for small inputs.
     joined = split.join(
-        gone, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left"
+        gone.hint("merge"), F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left"
     )
     lines = F.col(text_column)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
