@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from seasonstats.sources.shared import materialize
@@ -108,6 +108,30 @@ def _rounds(sessions: DataFrame, days: DataFrame) -> DataFrame:
     )
 
 
+def _listed_until(rounds: DataFrame, last: int) -> DataFrame:
+    """``rounds`` with ``until``: the last date before the next ``last`` rounds in order have all been held.
+
+    Most rounds have these within their own season. For the others only the first and the last ``last`` rounds of a
+    season matter, so the one window over all seasons holds 2 * last rows a season, however many rounds there are.
+    """
+
+    def until(order: WindowSpec) -> Column:
+        newer = order.rowsBetween(-last, -1)
+        passed = F.count(F.lit(1)).over(newer) == last
+        return F.when(passed, F.max("lo").over(newer) - 1)
+
+    backwards = Window.partitionBy("year").orderBy(F.desc("roundnumber"))
+    forwards = Window.partitionBy("year").orderBy("roundnumber")
+    placed = rounds.select(
+        "*", until(backwards).alias("in_season"),
+        ((F.row_number().over(backwards) <= last) | (F.row_number().over(forwards) <= last)).alias("edge"),
+    )
+    across = until(Window.orderBy(F.desc("year"), F.desc("roundnumber")))
+    edges = placed.where("edge").withColumn("until", F.coalesce("in_season", across, "dates"))
+    inner = placed.where("NOT edge").withColumn("until", F.col("in_season"))
+    return edges.unionByName(inner).drop("in_season", "edge")
+
+
 def _seen_rounds(rounds: DataFrame, last: int | None) -> DataFrame:
     """(idx, year, roundnumber, rn): rounds seen at each reference date, newest first, at most ``last``.
 
@@ -115,14 +139,9 @@ def _seen_rounds(rounds: DataFrame, last: int | None) -> DataFrame:
     need not be listed beyond that date. With rounds held in order that leaves exactly ``last`` per date.
     """
     newest_first = [F.desc("year"), F.desc("roundnumber")]
-    until = F.col("dates")
-    if last is not None:
-        newer = Window.orderBy(*newest_first).rowsBetween(-last, -1)
-        passed = F.count(F.lit(1)).over(newer) == last
-        until = F.when(passed, F.max("lo").over(newer) - 1).otherwise(until)
+    dated = rounds.withColumn("until", F.col("dates")) if last is None else _listed_until(rounds, last)
     seen = (
-        rounds.withColumn("until", until)
-        .where("lo <= until")
+        dated.where("lo <= until")
         .select(*ROUND, F.explode(F.sequence("lo", "until")).alias("idx"))
         .withColumn("rn", F.row_number().over(Window.partitionBy("idx").orderBy(*newest_first)).cast("long"))
     )

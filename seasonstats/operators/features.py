@@ -15,6 +15,7 @@ from seasonstats.operators.calendar import (
     build_calendar,
 )
 from seasonstats.schema import MODES
+from seasonstats.sources.shared import materialize
 
 DEFAULT_WINDOWS: tuple[int | None, ...] = (None, 10, 20, 40)
 CAREER = 2**31 - 1  # the career as a number of last rounds: more than there are
@@ -241,11 +242,11 @@ def snapshot_stats(results: DataFrame, as_of: str, max_season_gap: int = 2) -> D
     day = F.lit(as_of).cast("date")
     # As a half-open range on the stored column, the date filter reaches the parquet scan.
     past = results.where(F.col("date") < F.date_add(day, 1).cast("timestamp_ntz"))
-    newest = past.agg(F.max("year")).scalar()
-    per_season = (
-        past.where(F.col("driverid").isNotNull()).groupBy("driverid", "year", "mode").agg(*M.row_partials())
-    )
-    seasons = per_season.groupBy("driverid", "year").agg(*M.slice_sums())
+    # Stored, so that the results are read once: the newest season comes from the same partial sums.
+    per_season = materialize(past.groupBy("driverid", "year", "mode").agg(*M.row_partials()), "season_partials")
+    newest = per_season.agg(F.max("year")).scalar()
+    named = per_season.where(F.col("driverid").isNotNull())
+    seasons = named.groupBy("driverid", "year").agg(*M.slice_sums())
     career = seasons.groupBy("driverid").agg(
         F.count("year").alias(M.SEASONS),
         F.max("year").alias("latest_year"),

@@ -71,7 +71,8 @@ METRICS = metric_sql()
 METRIC_LIST = ",\n       ".join(f"{value} AS {name}" for name, value in METRICS.items())
 
 # From the definitions: a competitor counts at a date if some session of the date's season or the two before has been
-# held by then; a round's number is one more than the newer rounds held by then.
+# held by then; a round's number is one more than the newer rounds held by then, a round without a number being
+# the oldest of its season.
 DATED = f"""
 dim_dates AS MATERIALIZED (
   SELECT CAST(date AS DATE) AS dt_ref, min(year) AS ref_year FROM results
@@ -81,13 +82,14 @@ rounds AS MATERIALIZED (
 ranked AS MATERIALIZED (
   SELECT dt_ref, own.year, own.roundnumber,
          1 + (SELECT count(*) FROM rounds newer WHERE newer.first_day <= dt_ref
-              AND (newer.year > own.year OR newer.year = own.year AND newer.roundnumber > own.roundnumber)) AS rn
+              AND (newer.year > own.year OR newer.year = own.year AND (newer.roundnumber > own.roundnumber
+                   OR newer.roundnumber IS NOT NULL AND own.roundnumber IS NULL))) AS rn
   FROM dim_dates, rounds own WHERE own.first_day <= dt_ref),
 debuts AS MATERIALIZED (
   SELECT driverid, year, min(CAST(date AS DATE)) AS first_day FROM results GROUP BY driverid, year),
 eligible AS MATERIALIZED (
   SELECT dt_ref, driverid FROM dim_dates, (SELECT DISTINCT driverid FROM results) who
-  WHERE EXISTS (FROM debuts WHERE debuts.driverid = who.driverid AND first_day <= dt_ref
+  WHERE EXISTS (FROM debuts WHERE debuts.driverid IS NOT DISTINCT FROM who.driverid AND first_day <= dt_ref
                 AND year >= ref_year - 2 AND year <= ref_year))"""
 
 

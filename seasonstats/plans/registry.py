@@ -21,7 +21,8 @@ from seasonstats.operators.features import (
     window_stats,
 )
 from seasonstats.plans import oracle as O
-from seasonstats.schema import LANDED, RESULTS
+from seasonstats.plans.lake import Lake
+from seasonstats.schema import LANDED, RESULTS, SESSION_KEY
 from seasonstats.sources import fixtures
 from seasonstats.sources import results as S
 from seasonstats.sources.shared import materialize, new_folder
@@ -265,6 +266,25 @@ def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _abt(spark, sf_dir)
 
 
+_RAW = O.RESULTS.replace("results AS", "raw AS", 1)
+_CURRENT = f"""{_RAW}, {_CORRECTED.replace("FROM results", "FROM raw")},
+results AS MATERIALIZED (
+  SELECT * FROM corrected UNION ALL
+  SELECT * FROM raw WHERE (year, roundnumber, mode) NOT IN (SELECT (year, roundnumber, mode) FROM corrected))"""
+
+
+@query(f"WITH {O.ABT.replace(O.RESULTS, _CURRENT, 1)} SELECT * FROM abt")
+def lake_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored flow on session files that do not say when they landed, then on corrections of every third round."""
+    folder = new_folder(spark, "lake")
+    lake, landing = Lake(spark, f"{folder}/tables"), f"{folder}/landing"
+    first = _stored_results(spark, sf_dir)
+    for rows in (first, _corrections(first)):
+        rows.repartition(*SESSION_KEY).write.mode("append").partitionBy(*SESSION_KEY).parquet(landing)
+        lake.ingest(landing)
+    return lake.refresh(landing, *ABT_RANGE, year_start=FIRST, year_stop=LAST)
+
+
 # Sampling -------------------------------------------------------------------------------------------
 
 OOT = fixtures.OOT_YEAR
@@ -370,6 +390,20 @@ def _fitted(spark: SparkSession, sf_dir: str):
     return sets, forest.fit(train, sampling.feature_names(sets))
 
 
+_LOW_GRID = "coalesce(avg_gridposition_last10 <= 11, FALSE)"
+
+
+@query(f"""WITH {O.SHORT_ABT}
+    SELECT dt_ref, driverid, avg(flchampion) OVER (PARTITION BY {_LOW_GRID}) AS proba FROM abt""")
+def model_one_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tree on one yes-or-no feature, fitted, stored, loaded and applied: its leaves are the label's means."""
+    rows = _short_abt(spark, sf_dir).withColumn("low_grid", F.expr(_LOW_GRID).cast("long"))
+    fitted = forest.fit(rows, ["low_grid"], trees=1, min_leaf=1, max_depth=1, bootstrap=False)
+    folder = new_folder(spark, "models")
+    forest.save_version(fitted, spark, folder)
+    return forest.score(forest.load_latest(spark, folder), rows)
+
+
 @query()
 def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.feature_importances(_fitted(spark, sf_dir)[1], spark)
