@@ -353,3 +353,12 @@ def test_pipeline_stages(spark, docs, none):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
         assert empty.count() == 0
+
+
+def test_pipeline_drops_single_repeated_lines(spark, docs):
+    rows = [(1, "a\nlicense\nb"), (2, "c\nlicense\nd"), (3, "license"), (4, "e\n\nlicense\n a"), (5, None)]
+    table = spark.createDataFrame([(i, t, "en", "s", 0, 0, "x", "y") for i, t in rows], KIND)
+    found = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.lines(spark, table, SF).collect()}
+    assert found == {1: ("a\nlicense\nb", 11), 2: ("c\nd", 3), 4: ("e\n\n a", 5), 5: (None, None)}
+    left = [x for r in corpus_pipeline.lines(spark, docs, SF).collect() for x in (r["text"] or "").split("\n") if WORD.search(x)]
+    assert len(left) == len(set(left))
