@@ -1,13 +1,17 @@
 """Language-model scores of documents.
 
 Word and subword counts of all training documents are exchanged between buckets of documents (see ``exchange``). The
-subwords are put into classes of about equal weight. A small causal self-attention model, trained in numpy, predicts the
-class of the next subword; within its class a subword has its share of the counts. Documents are cut into overlapping
-windows, and each subword is scored once, with as much context as its window gives, in batches of masked attention.
+subwords are put into classes of about equal weight, and which class follows which is counted over all training documents.
+Beside this table a small causal self-attention model, trained in numpy, predicts the class of the next subword; within
+its class a subword has its share of the counts. The model starts from a sample; then each bucket fits it on to all windows
+of its training documents, and the mean of what the buckets change, weighed by their windows, is added. Documents are
+scored in overlapping windows, each subword once, with as much context as its window gives, in batches of masked attention.
 """
 
 from __future__ import annotations
 
+import copy
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,10 +27,13 @@ from seasonstats.sources.shared import materialize
 FOLDS = 10
 WINDOW, STRIDE = 32, 28  # a later window's first 4 places are context only
 CLASSES, WIDTH, OWN = 96, 16, 4096  # OWN: the most frequent subwords have a vector of their own besides their class's
-TRAINING_WINDOWS, EPOCHS, BATCH, RATE = 24_576, 2, 256, 0.01  # the bound of the sample that the weights are fitted on
+TRAINING_WINDOWS, EPOCHS, BATCH, RATE = 24_576, 2, 256, 0.01  # the bound of the sample that the fit starts from
+ON_RATE = 0.003  # of the fit to all windows, which goes on from the sample's
 SCORED = 96  # windows at once, so that a batch stays in the processor's cache
 WORDS, SUBWORDS = -1, -2  # names of messages for no bucket
 SPACING = np.uint64(1 << 44)  # spreads subword ids over the ranges of hashes
+BLOCK = 1024  # numbers of an array that is summed up over tasks, in one row
+_BLOCKS = "block int, task int, numbers binary"
 
 
 class Vocabulary:
@@ -49,9 +56,11 @@ class Vocabulary:
 
 
 class Attention:
-    """One causal attention layer beside a table of class pairs."""
+    """One causal attention layer beside a table of class pairs, which is fitted too unless ``pairs`` counts them."""
 
-    def __init__(self, vocabulary: Vocabulary, width: int = WIDTH, own: int = OWN, seed: int = 5):
+    def __init__(
+        self, vocabulary: Vocabulary, width: int = WIDTH, own: int = OWN, seed: int = 5, pairs: np.ndarray | None = None
+    ):
         draw, c = np.random.default_rng(seed), vocabulary.size
         self.v, self.own = vocabulary, min(own, len(vocabulary.group))
         make = lambda *shape: (draw.standard_normal(shape) * 0.1).astype(np.float32)
@@ -59,6 +68,10 @@ class Attention:
             "own": np.zeros((self.own + 1, width), np.float32), "group": make(c, width), "place": make(WINDOW, width),
             "qkv": make(width, 3 * width), "back": make(width, width), "out": make(width, c), "pairs": np.zeros((c, c), np.float32),
         }
+        self.fitted = [name for name in self.w if name != "pairs" or pairs is None]
+        if pairs is not None:
+            share = (pairs.sum(axis=0) + 0.1) / (pairs.sum() + 0.1 * c)
+            self.w["pairs"] = np.log((pairs + c * share) / (pairs.sum(axis=1, keepdims=True) + c)).astype(np.float32)
         self.seen = np.tril(np.ones((WINDOW, WINDOW), np.float32))  # places to come are masked
 
     def _hidden(self, ids: np.ndarray) -> tuple[np.ndarray, tuple]:
@@ -95,8 +108,10 @@ class Attention:
         d[rows, places, target] -= 1
         d /= n
         flat = lambda m: m.reshape(-1, m.shape[-1])
-        g = {"out": flat(h).T @ flat(d), "pairs": np.zeros_like(w["pairs"])}
-        np.add.at(g["pairs"], group.ravel(), flat(d))
+        g = {"out": flat(h).T @ flat(d)}
+        if "pairs" in self.fitted:
+            g["pairs"] = np.zeros_like(w["pairs"])
+            np.add.at(g["pairs"], group.ravel(), flat(d))
         dh = d @ w["out"].T
         g["back"] = flat(z).T @ flat(dh)
         dz = dh @ w["back"].T
@@ -115,8 +130,8 @@ class Attention:
 
     def fit(self, windows: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE) -> list[float]:
         """Adam over ``windows`` of WINDOW + 1 ids; the loss of each step."""
-        first = {k: np.zeros_like(m) for k, m in self.w.items()}
-        second = {k: np.zeros_like(m) for k, m in self.w.items()}
+        first = {k: np.zeros_like(self.w[k]) for k in self.fitted}
+        second = {k: np.zeros_like(self.w[k]) for k in self.fitted}
         draw, losses = np.random.default_rng(11), []
         steps = max(1, epochs * -(-len(windows) // batch)) if len(windows) else 0
         order = np.concatenate([draw.permutation(len(windows)) for _ in range(epochs)]) if steps else []
@@ -134,6 +149,20 @@ class Attention:
                 self.w[name] -= (pace * m / (np.sqrt(s) + 1e-7)).astype(np.float32)
         return losses
 
+    def flat(self) -> np.ndarray:
+        """All fitted weights in a row."""
+        return np.concatenate([self.w[k].ravel() for k in self.fitted]).astype(np.float64)
+
+    def moved(self, change: np.ndarray) -> Attention:
+        """A copy with ``change`` added to the fitted weights."""
+        other, at = copy.copy(self), 0
+        other.w = dict(self.w)
+        for k in self.fitted:
+            m = self.w[k]
+            other.w[k] = m + change[at : at + m.size].reshape(m.shape).astype(np.float32)
+            at += m.size
+        return other
+
     def score(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Log10 probability of each text; ``ids`` hold an end after every text."""
         end = len(self.v.group) - 1
@@ -207,8 +236,76 @@ def _summed(messages: list[X.Message]):
         yield SUBWORDS, every, np.bincount(place, np.concatenate([m.extra for m in pieces])).astype(np.int64)
 
 
+def _blocks(numbers: np.ndarray, task: int) -> pa.Table:
+    """``numbers`` as rows of ``_BLOCKS``."""
+    parts = [numbers[a : a + BLOCK].tobytes() for a in range(0, len(numbers), BLOCK)]
+    return pa.table({
+        "block": pa.array(range(len(parts)), pa.int32()), "task": pa.array([task] * len(parts), pa.int32()),
+        "numbers": pa.array(parts, pa.binary()),
+    })
+
+
+def _added_up(rows: DataFrame, kind: type) -> np.ndarray:
+    """The sum, in the order of tasks, of the arrays that ``rows`` hold in blocks; as long as one of them."""
+
+    def added(key, table):
+        table = table.sort_by("task")
+        total = sum(np.frombuffer(x, kind) for x in table.column("numbers").to_pylist())
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "task": pa.array([0], pa.int32()),
+                         "numbers": pa.array([total.tobytes()], pa.binary())})
+
+    # One array, whose length the classes and the width of the model bound.
+    found = sorted(rows.groupBy("block").applyInArrow(added, _BLOCKS).collect())
+    return np.concatenate([np.frombuffer(r["numbers"], kind) for r in found]) if found else np.zeros(0, kind)
+
+
+def _windows(ids: np.ndarray, end: int) -> np.ndarray:
+    """``ids`` in windows of WINDOW + 1, an end before the first; the last one reaches back, or has more ends before it."""
+    if not len(ids):
+        return np.zeros((0, WINDOW + 1), np.int32)
+    ids = np.concatenate([np.full(max(1, WINDOW + 1 - len(ids)), end), ids])
+    begin = np.arange(0, len(ids) - 1, WINDOW)
+    return ids[np.minimum(begin, len(ids) - WINDOW - 1)[:, None] + np.arange(WINDOW + 1)].astype(np.int32)
+
+
+def _pair_counts(docs: DataFrame, path: str, vocabulary: Vocabulary, end: int) -> np.ndarray:
+    """How often each class follows each, over all training documents."""
+    c, group = vocabulary.size, vocabulary.group
+
+    def counted(batches):
+        total = np.zeros(c * c, np.int64)
+        for batch in batches:
+            for rows in chunks(batch):
+                ids, _ = with_ends(*subwords(path).encode(rows.column("text")), end)
+                of = group[np.concatenate([[end], ids])]
+                total += np.bincount(of[:-1] * c + of[1:], minlength=c * c)
+        if total.any():
+            yield from _blocks(total, 0).to_batches()
+
+    found = _added_up(docs.where("learn").select("text").mapInArrow(counted, _BLOCKS), np.int64)
+    return (found if len(found) else np.zeros(c * c, np.int64)).reshape(c, c)
+
+
+def _fitted_on(dealt: DataFrame, path: str, model: Attention, end: int) -> Attention:
+    """``model`` fitted on to the windows of all training documents, bucket by bucket, and the changes' weighed mean."""
+
+    def changed(key, table):
+        # In order of ids, so that the fit does not depend on how the shuffle arrives.
+        table = table.select(["doc_id", "text"]).sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        own, windows = model.moved(np.zeros(len(model.flat()))), 0
+        for part in chunks(table):
+            found = _windows(with_ends(*subwords(path).encode(part.column("text")), end)[0], end)
+            own.fit(found, epochs=1, rate=ON_RATE)
+            windows += len(found)
+        return _blocks(np.concatenate([(own.flat() - model.flat()) * windows, [windows]]), key[0].as_py())
+
+    total = _added_up(dealt.where("learn").groupBy("bucket").applyInArrow(changed, _BLOCKS), np.float64)
+    return model.moved(total[:-1] / total[-1]) if len(total) and total[-1] else model
+
+
 def _training_windows(docs: DataFrame, path: str, words_learnt: int, end: int) -> np.ndarray:
-    """Windows of whole training documents drawn by the hash of their ids, about TRAINING_WINDOWS of them."""
+    """Windows of whole training documents drawn by the hash of their ids, about TRAINING_WINDOWS of them. The fit starts
+    from these; ``_fitted_on`` takes it to all others."""
     # A word has some two subwords or more.
     part = min(1.0, TRAINING_WINDOWS * WINDOW / max(1, 2 * words_learnt))
     drawn = docs.where("learn").where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 20)) < int(part * (1 << 20)) + 1)
@@ -217,10 +314,7 @@ def _training_windows(docs: DataFrame, path: str, words_learnt: int, end: int) -
         for batch in batches:
             for rows in chunks(batch):
                 ids, offsets = with_ends(*subwords(path).encode(rows.column("text")), end)
-                ids = np.concatenate([[end], ids])
-                windows = [ids[a : a + WINDOW + 1] for a in range(0, len(ids) - WINDOW, WINDOW)]
-                flat = np.concatenate(windows).astype(np.int32) if windows else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array([flat.tobytes()], pa.binary())], ["windows"])
+                yield pa.RecordBatch.from_arrays([pa.array([_windows(ids, end).tobytes()], pa.binary())], ["windows"])
 
     rows = drawn.select("doc_id", "text").mapInArrow(cut, "windows binary").collect()
     found = [np.frombuffer(r["windows"], np.int32).reshape(-1, WINDOW + 1) for r in rows]
@@ -233,7 +327,7 @@ def score_documents(
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
 
     Tokens are words, A-Z in lower case, and one end for each text. Null text is empty: its end alone. Documents whose id
-    leaves ``fold`` in its checksum are held out of all counts and of the model's sample; a null id is learnt from. Rows
+    leaves ``fold`` in its checksum are held out of all counts and of the model's fit; a null id is learnt from. Rows
     are scored each for itself, repeated or not. With no training documents all counts are 0 and the model is as drawn.
     Words are told apart by hashes of 64 bits. Other columns are not read.
     """
@@ -258,9 +352,11 @@ def score_documents(
     for name, ids, counts in totals:
         if name == SUBWORDS:
             pieces[(ids // SPACING).astype(np.int64)] = counts
-    model = Attention(Vocabulary(pieces))
+    vocabulary = Vocabulary(pieces)
     known_ids = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), (~held).alias("learn"))
-    model.fit(_training_windows(known_ids, path, train_tokens, end))
+    started = Attention(vocabulary, pairs=_pair_counts(known_ids, path, vocabulary, end))
+    started.fit(_training_windows(known_ids, path, train_tokens, end))
+    model = _fitted_on(dealt, path, started, end)
     whole = float(np.log10(train_tokens + 0.1 * (distinct + 1)))
     end_score = float(np.log10(ends + 0.1))
 

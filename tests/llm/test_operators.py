@@ -362,3 +362,46 @@ def test_pipeline_drops_single_repeated_lines(spark, docs):
     assert found == {1: ("a\nlicense\nb", 11), 2: ("c\nd", 3), 4: ("e\n\n a", 5), 5: (None, None)}
     left = [x for r in corpus_pipeline.lines(spark, docs, SF).collect() for x in (r["text"] or "").split("\n") if WORD.search(x)]
     assert len(left) == len(set(left))
+
+
+def test_windows_have_every_subword_as_a_target():
+    for n in (0, 1, lm.WINDOW, lm.WINDOW + 1, 3 * lm.WINDOW, 100):
+        windows = lm._windows(np.arange(n), 999)
+        assert windows.shape[1] == lm.WINDOW + 1 and set(range(n)) <= set(windows[:, 1:].ravel().tolist())
+        assert len(windows) == -(-n // lm.WINDOW)
+
+
+def test_context_is_counted_and_fitted_over_all_training_documents(spark, monkeypatch):
+    """With next to nothing in the sample, scores still know which word follows which, and every bucket moves the weights."""
+    ship(spark)
+    draw = random.Random(9)
+    words = [c * 2 for c in "abcdefghijklmnopqrst"]
+    rows = []
+    for i in range(300):
+        at = draw.randrange(20)
+        rows.append((i, " ".join(words[(at + k) % 20] for k in range(draw.randint(1, 60)))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path, end = tokenizer_path(), subwords(tokenizer_path()).tokenizer.get_vocab_size()
+    ids = {i: [*subwords(path).tokenizer.encode(t, add_special_tokens=False).ids, end] for i, t in rows}
+    counts = np.bincount(np.concatenate(list(ids.values())), minlength=end + 1).astype(float)
+    vocabulary, learnt = lm.Vocabulary(counts), docs.withColumn("learn", F.col("doc_id") % 2 == 0)
+    expected = np.zeros((vocabulary.size, vocabulary.size), np.int64)
+    for i, own in ids.items():
+        for a, b in zip([end, *own], own, strict=False):
+            expected[vocabulary.group[a], vocabulary.group[b]] += i % 2 == 0
+    pairs = lm._pair_counts(learnt, path, vocabulary, end)
+    assert (pairs == expected).all()
+    start = lm.Attention(vocabulary, pairs=pairs)
+    buckets = learnt.withColumn("bucket", (F.col("doc_id") % 3).cast("int")).repartition(3, "bucket")
+    changes, windows = 0, 0
+    for bucket in range(3):
+        own = start.moved(np.zeros(len(start.flat())))
+        found = lm._windows(np.concatenate([ids[i] for i in ids if i % 2 == 0 and i % 3 == bucket]), end)
+        own.fit(found, epochs=1, rate=lm.ON_RATE)
+        changes, windows = changes + (own.flat() - start.flat()) * len(found), windows + len(found)
+    fitted = lm._fitted_on(buckets, path, start, end).flat()
+    assert fitted == pytest.approx(start.flat() + changes / windows, abs=1e-5) and not np.allclose(fitted, start.flat())
+    monkeypatch.setattr(lm, "TRAINING_WINDOWS", 0)
+    held = lm.score_documents(docs, path).where("held_out").collect()
+    unigram = np.log10((counts + 0.1) / (counts + 0.1).sum())
+    assert sum(r["score"] for r in held) > 0.5 * sum(unigram[ids[r["doc_id"]]].sum() for r in held)
