@@ -405,3 +405,20 @@ def test_context_is_counted_and_fitted_over_all_training_documents(spark, monkey
     held = lm.score_documents(docs, path).where("held_out").collect()
     unigram = np.log10((counts + 0.1) / (counts + 0.1).sum())
     assert sum(r["score"] for r in held) > 0.5 * sum(unigram[ids[r["doc_id"]]].sum() for r in held)
+
+
+def test_held_out_scores_use_their_context(spark):
+    """Held out, scores are far above subword unigrams; base_score, of smoothed whole words, is the other mark."""
+    ship(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    path, end = tokenizer_path(), subwords(tokenizer_path()).tokenizer.get_vocab_size()
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    held = [d for d in texts if zlib.crc32(str(d).encode()) % 10 == 0]
+    encoded = lambda ds: tokenfile.with_ends(*subwords(path).encode(pa.array([texts[d] for d in ds], pa.string())), end)
+    counts = np.bincount(encoded([d for d in texts if d not in set(held)])[0], minlength=end + 1) + 0.1
+    ids, _ = encoded(held)
+    unigram = np.log10(counts / counts.sum())[ids].sum()
+    found = lm.score_documents(docs, path).where("held_out").collect()
+    score, base = sum(r["score"] for r in found), sum(r["base_score"] for r in found)
+    # Log10 a subword: unigrams -2.50, base_score -1.80; the scores have -1.99, and -2.10 with 96 classes and a stride of 28.
+    assert score > 0.82 * unigram and score > 1.12 * base
