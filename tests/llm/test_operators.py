@@ -422,3 +422,33 @@ def test_held_out_scores_use_their_context(spark):
     score, base = sum(r["score"] for r in found), sum(r["base_score"] for r in found)
     # Log10 a subword: unigrams -2.50, base_score -1.80; the scores have -1.99, and -2.10 with 96 classes and a stride of 28.
     assert score > 0.82 * unigram and score > 1.12 * base
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.near_duplicates, corpus_pipeline.mixture])
+def test_row_numbers_outlast_another_cut_of_the_input(spark, stage, tmp_path, monkeypatch):
+    """A job that cuts the input otherwise than the job before, as after a lost executor, still finds the same rows."""
+    ship(spark)
+    rows = [(i, f"text {i} of its own " + " ".join(f"w{i}x{k}" for k in range(i % 9 + 5)), "en", f"s{i % 3}", 0, i, "x", "y")
+            for i in range(120)]
+    spark.createDataFrame(rows, KIND).repartition(12).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    size = "spark.sql.files.maxPartitionBytes"
+    before, keep = spark.conf.get(size), corpus_pipeline.materialize
+
+    def kept(df, name):
+        # From the stage's last stored table on, each file is a task of its own; before, several were in one.
+        found = keep(df, name)
+        if name in ("kept", "copies"):
+            spark.conf.set(size, "1m")
+        return found
+
+    monkeypatch.setattr(corpus_pipeline, "materialize", kept)
+    try:
+        found = sorted(r["doc_id"] for r in stage(spark, docs, SF).collect())
+    finally:
+        spark.conf.set(size, before)
+    monkeypatch.undo()
+    if stage is corpus_pipeline.mixture:
+        assert found == sorted(r["doc_id"] for r in stage(spark, docs, SF).collect())
+    else:
+        assert found == list(range(120))
