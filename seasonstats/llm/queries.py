@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonstats.llm import exact, hnsw, jaccard, langid, linededup, lm, mixing, packing, passages, tokenfile
+from seasonstats.llm import exact, hnsw, jaccard, langid, linededup, lm, merkle, mixing, packing, passages, tokenfile
 from seasonstats.llm.shipping import ship
 from seasonstats.sources.shared import new_folder
 
@@ -113,3 +113,65 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linededup.drop_repeated_runs(_read(spark, sf_dir, "documents"))
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     return kept.select("doc_id", "n_lines", "n_removed", digest.alias("kept_sha256"))
+
+
+_CRC = """list_reduce(flatten([[4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: [256 + ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))]),
+    lambda crc, x: CASE WHEN x > 0 THEN xor(crc, x - 256) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END)"""
+
+
+def _record(n_chars: str) -> str:
+    columns = ["doc_id", "source", "lang", n_chars, "text"]
+    values = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns]
+    return f"sha256({' || '.join(values)})"
+
+
+# A level is a list of a tree's nodes; every node keeps the list of its siblings' digests from the level below.
+_TREE = """{0} AS (
+  SELECT tree, 0 AS level, nodes FROM {1}
+  UNION ALL
+  SELECT tree, level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM {0} WHERE len(nodes) > 1)"""
+# A leaf's node at each level is known by its place, the sibling is the other one of its pair.
+_PATH = """{0} AS (
+  SELECT l.tree, l.place, string_agg(nodes[xor(l.place >> level, 1) + 1], '' ORDER BY level) AS siblings,
+         list([xor(l.place >> level, 1) < len(nodes), (l.place >> level) % 2 = 1] ORDER BY level) AS sides,
+         list(coalesce(nodes[xor(l.place >> level, 1) + 1], '') ORDER BY level) AS path
+  FROM {1} l JOIN {2} t ON t.tree IS NOT DISTINCT FROM l.tree AND len(nodes) > 1 GROUP BY l.tree, l.place)"""
+_FOLD = """list_reduce(list_concat([{0}], list_transform(range(1, len(path) + 1), lambda i:
+    CASE WHEN NOT sides[i][1] THEN '0' WHEN sides[i][2] THEN '1' || path[i] ELSE '2' || path[i] END)), lambda node, step:
+    sha256(CASE step[1] WHEN '0' THEN node WHEN '1' THEN step[2:] || node ELSE node || step[2:] END))"""
+
+
+@query(f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+    SELECT doc_id, lang AS tree, {_record("n_chars")} AS leaf,
+           CASE WHEN xor({_CRC}, 4294967295) % 7 = 0 THEN {_record("(n_chars + 1)")} END AS claim FROM documents),
+  placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+  lists AS (SELECT tree, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY tree),
+  {_TREE.format("trees", "lists")},
+  subroots AS MATERIALIZED (
+    SELECT tree AS lang, nodes[1] AS subroot, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS place, NULL AS tree
+    FROM trees WHERE len(nodes) = 1),
+  tops AS (SELECT NULL AS tree, list(subroot ORDER BY place) AS nodes FROM subroots),
+  {_TREE.format("top", "tops")},
+  {_PATH.format("below", "placed", "trees")}, {_PATH.format("above", "subroots", "top")},
+  proofs AS (
+    SELECT p.doc_id, p.leaf, p.claim, s.subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root,
+           coalesce(b.siblings, '') || coalesce(a.siblings, '') AS siblings,
+           list_concat(coalesce(b.path, []), coalesce(a.path, [])) AS path,
+           list_concat(coalesce(b.sides, []), coalesce(a.sides, [])) AS sides
+    FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.tree
+    LEFT JOIN below b ON b.tree IS NOT DISTINCT FROM p.tree AND b.place = p.place
+    LEFT JOIN above a ON a.place = s.place),
+  folded AS (SELECT *, {_FOLD.format("coalesce(claim, leaf)")} AS folded_root FROM proofs)
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded""")
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    longer = F.try_add(F.col("n_chars"), F.lit(1))
+    fields = [longer if f == "n_chars" else F.col(f) for f in merkle.FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    folder = new_folder(spark, "manifest")
+    merkle.write_manifest(docs, folder, F.when(tampered, merkle.record_digest(fields)))
+    return merkle.verified(merkle.inclusion_proofs(spark, folder))
