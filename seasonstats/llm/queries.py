@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonstats.llm import exact, hnsw, jaccard, langid, linededup, lm, merkle, mixing, packing, passages, tokenfile
+from seasonstats.llm import exact, hnsw, jaccard, langid, linededup, lm, merkle, mixing, packing, passages, search, tokenfile
 from seasonstats.llm.shipping import ship
 from seasonstats.sources.shared import new_folder
 
@@ -175,3 +175,33 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "manifest")
     merkle.write_manifest(docs, folder, F.when(tampered, merkle.record_digest(fields)))
     return merkle.verified(merkle.inclusion_proofs(spark, folder))
+
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@query(f"""
+WITH held AS MATERIALIZED (
+    SELECT row, doc_id, term, count(*) AS tf FROM (
+      SELECT row, doc_id, unnest({_TERMS}) AS term FROM (SELECT *, row_number() OVER () AS row FROM documents))
+    GROUP BY ALL),
+  sizes AS MATERIALIZED (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM held GROUP BY row),
+  whole AS MATERIALIZED (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+  weights AS MATERIALIZED (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM held, whole GROUP BY term),
+  asked AS MATERIALIZED (
+    SELECT item, item_id, term, count(*) AS times FROM (
+      SELECT item, item_id, unnest({_TERMS}) AS term FROM (SELECT *, row_number() OVER () AS item FROM benchmark))
+    GROUP BY ALL),
+  scores AS (
+    SELECT item, item_id, row, doc_id,
+           CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN sizes USING (row), whole GROUP BY item, item_id, row, doc_id)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) QUALIFY row_number() OVER best <= 20""")
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "lexical_index")
+    search.build_index(_read(spark, sf_dir, "documents"), folder)
+    return search.search(spark, folder, _read(spark, sf_dir, "benchmark"))
