@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonstats.llm import exact, hnsw, jaccard, langid, linededup, lm, merkle, mixing, packing, passages, search, tokenfile
+from seasonstats.llm import exact, hnsw, jaccard, langid, linededup, lm, merkle, mixing, packing, passages, quality, search, tokenfile
 from seasonstats.llm.shipping import ship
 from seasonstats.sources.shared import new_folder
 
@@ -205,3 +205,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "lexical_index")
     search.build_index(_read(spark, sf_dir, "documents"), folder)
     return search.search(spark, folder, _read(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    asked = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *asked, "base_failed", "kept")
