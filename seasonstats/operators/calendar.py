@@ -171,6 +171,18 @@ def build_calendar(
 ) -> Calendar:
     """Reads three columns of ``results`` once and stores the calendar in the shared folder."""
     sessions = materialize(session_days(results), "session_days")
+    return calendar_of(sessions, windows, year_start, year_stop, max_season_gap, inclusive)
+
+
+def calendar_of(
+    sessions: DataFrame,
+    windows: tuple[int, ...] = (),
+    year_start: int | None = FIRST_SEASON,
+    year_stop: int | None = LAST_SEASON,
+    max_season_gap: int = 2,
+    inclusive: bool = True,
+) -> Calendar:
+    """The calendar of stored sessions, as ``session_days`` gives them."""
     days = _numbered_days(sessions, year_start, year_stop, inclusive)
     index = sessions.join(days.drop("dates"), "day").join(
         _season_ends(sessions, days, max_season_gap), "year", "left"

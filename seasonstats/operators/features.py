@@ -43,19 +43,17 @@ def _placeable(results: DataFrame) -> DataFrame:
     )
 
 
-def _cells(results: DataFrame, calendar: Calendar) -> DataFrame:
-    """One partial row per (competitor, session, mode), placed in the calendar and hashed by competitor.
+def _numbered_only() -> list[Column]:
+    """A row without a round number makes its competitor eligible, but is in no statistics."""
+    return [F.when(F.col("numbered"), F.col(p)).alias(p) for p in M.PARTIALS]
 
-    The first shuffle carries rows that every task has already reduced, so a competitor who owns a large
-    share of all results arrives as a few partial rows per session. The second shuffle, by competitor alone,
-    serves every window and aggregation that follows.
-    """
+
+def _placed_cells(results: DataFrame, calendar: Calendar) -> DataFrame:
+    """One partial row per (competitor, session, mode), placed in the calendar."""
     keys = ["driverid", "year", "roundnumber", "day", "mode"]
-    # A row without a round number makes its competitor eligible, but is in no statistics.
-    numbered = F.col("roundnumber").isNotNull()
-    cells = _placeable(results).groupBy(*keys).agg(*M.row_partials()).select(
-        *keys, numbered.alias("numbered"), *[F.when(numbered, F.col(p)).alias(p) for p in M.PARTIALS]
-    )
+    numbered = F.col("roundnumber").isNotNull().alias("numbered")
+    cells = _placeable(results).groupBy(*keys).agg(*M.row_partials()).select(*keys, numbered, *M.PARTIALS)
+    cells = cells.select(*keys, "numbered", *_numbered_only())
     same_session = (
         (F.col("c.year") == F.col("i.year"))
         & F.col("c.roundnumber").eqNullSafe(F.col("i.roundnumber"))
@@ -66,10 +64,19 @@ def _cells(results: DataFrame, calendar: Calendar) -> DataFrame:
         cells.alias("c")
         .join(calendar.index.alias("i"), same_session)
         .select("c.*", *[f"i.{p}" for p in place])
-        .repartition(_tasks(results.sparkSession), "driverid")
     )
 
 
+def _cells(results: DataFrame, calendar: Calendar) -> DataFrame:
+    """The same hashed by competitor.
+
+    The first shuffle carries rows that every task has already reduced, so a competitor who owns a large
+    share of all results arrives as a few partial rows per session. The second shuffle, by competitor alone,
+    serves every window and aggregation that follows.
+    """
+    return _placed_cells(results, calendar).repartition(_tasks(results.sparkSession), "driverid")
+
+
 def _until_next_session(by_time) -> Column:
     """Last reference date at which a cell is the competitor's newest one and the competitor is eligible.
 
@@ -79,11 +86,16 @@ def _until_next_session(by_time) -> Column:
     return F.least(F.lead("lo").over(by_time) - 1, F.max("season_end").over(upto))
 
 
-def _dates_of(rows: DataFrame, start: str, stop: str) -> DataFrame:
-    return rows.where(F.col(start) <= F.col(stop)).withColumn("idx", F.explode(F.sequence(start, stop)))
+def _dates_of(rows: DataFrame, start: str, stop: str, first: int | None = None) -> DataFrame:
+    """Every row at each date of its interval, from date ``first`` on if given."""
+    rows = rows.where(F.col(start) <= F.col(stop))
+    if first is None:
+        return rows.withColumn("idx", F.explode(F.sequence(start, stop)))
+    late = rows.where(F.col(stop) >= first)
+    return late.withColumn("idx", F.explode(F.sequence(F.greatest(F.col(start), F.lit(first).cast("long")), F.col(stop))))
 
 
-def _career_rows(cells: DataFrame) -> DataFrame:
+def _career_rows(cells: DataFrame, first: int | None = None) -> DataFrame:
     """Running sums over each competitor's cells; the newest cell stands for all dates until the next one."""
     by_time = Window.partitionBy("driverid").orderBy("lo")
     upto = "OVER (PARTITION BY driverid ORDER BY lo RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -97,10 +109,10 @@ def _career_rows(cells: DataFrame) -> DataFrame:
         F.expr(f"sum(opens_season) {upto} AS {M.SEASONS}"),
         *M.slice_sums(upto),
     )
-    return _dates_of(running, "lo", "until").drop("lo", "until").withColumn("window", F.lit(CAREER))
+    return _dates_of(running, "lo", "until", first).drop("lo", "until").withColumn("window", F.lit(CAREER))
 
 
-def _recent_rows(cells: DataFrame, windows: tuple[int, ...]) -> DataFrame:
+def _recent_rows(cells: DataFrame, windows: tuple[int, ...], first: int | None = None) -> DataFrame:
     """Sums per (competitor, reference date, window), over the rounds inside the window.
 
     A cell is repeated for the dates at which the widest window holds its round, once, and counted for the
@@ -127,7 +139,7 @@ def _recent_rows(cells: DataFrame, windows: tuple[int, ...]) -> DataFrame:
         F.lit(widest),
     )
     by_band = (
-        _dates_of(placed, "lo", "until")
+        _dates_of(placed, "lo", "until", first)
         .groupBy("driverid", "idx", narrowest.alias("window"))
         .agg(
             F.max("year").alias("latest_year"),
@@ -156,11 +168,17 @@ def _recent_rows(cells: DataFrame, windows: tuple[int, ...]) -> DataFrame:
 def _window_rows(results: DataFrame, windows: tuple[int | None, ...], calendar: Calendar) -> DataFrame:
     """The 43 statistics in long form: one row per (competitor, reference date, window) with a session in it."""
     cells = _cells(results, calendar)
+    return _long_rows(cells, cells, windows, calendar)
+
+
+def _long_rows(
+    career: DataFrame, recent: DataFrame, windows: tuple[int | None, ...], calendar: Calendar, first: int | None = None
+) -> DataFrame:
     parts = []
     if None in windows:
-        parts.append(_career_rows(cells))
+        parts.append(_career_rows(career, first))
     if calendar.windows:
-        parts.append(_recent_rows(cells, calendar.windows))
+        parts.append(_recent_rows(recent, calendar.windows, first))
     columns = ["driverid", "idx", "window", "latest_year", *M.finished_metrics()]
     return reduce(DataFrame.unionByName, [p.where(F.col(M.SESSIONS) > 0).select(*columns) for p in parts])
 
@@ -208,22 +226,22 @@ def feature_table(
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     recent = tuple(sorted(n for n in windows if n is not None))
     calendar = build_calendar(results, recent, year_start, year_stop, max_season_gap, inclusive)
+    return _side_by_side(_window_rows(results, windows, calendar), windows, how, calendar)
+
+
+def _side_by_side(rows: DataFrame, windows: tuple[int | None, ...], how: str, calendar: Calendar) -> DataFrame:
     widest_first = sorted((CAREER if n is None else n for n in windows), reverse=True)
     names = {n: window_name(None if n == CAREER else n) for n in widest_first}
     of_date = Window.partitionBy("driverid", "idx").orderBy(F.desc("window"))
     found = F.struct(*M.METRICS)
-    wide = (
-        _window_rows(results, windows, calendar)
-        .select(
-            "driverid",
-            "idx",
-            "latest_year",
-            "window",
-            found.alias(names[widest_first[0]]),
-            *[F.lead(found, i).over(of_date).alias(names[n]) for i, n in enumerate(widest_first) if i],
-        )
-        .where(F.col("window") == widest_first[0])
-    )
+    wide = rows.select(
+        "driverid",
+        "idx",
+        "latest_year",
+        "window",
+        found.alias(names[widest_first[0]]),
+        *[F.lead(found, i).over(of_date).alias(names[n]) for i, n in enumerate(widest_first) if i],
+    ).where(F.col("window") == widest_first[0])
     if how == "inner":
         wide = wide.where(F.col(names[widest_first[-1]]).isNotNull())
     return (
@@ -233,6 +251,52 @@ def feature_table(
     )
 
 
+def year_partials(results: DataFrame) -> DataFrame:
+    """Partial sums per competitor, season and mode over the sessions held in one calendar year (``held``): what later
+    dates need to know of that year for career statistics."""
+    keys = ["driverid", "year", "mode", "numbered", "held"]
+    rows = _placeable(results).withColumns({"numbered": F.col("roundnumber").isNotNull(), "held": F.year("day")})
+    return rows.groupBy(*keys).agg(*M.row_partials()).select(*keys, *_numbered_only())
+
+
+def features_from_year(
+    results: DataFrame, earlier: DataFrame, calendar: Calendar, year: int, windows: tuple[int | None, ...], how: str = "inner"
+) -> DataFrame | None:
+    """``feature_table`` at the reference dates from the calendar year ``year`` on; None if there are no such dates.
+
+    ``results`` must hold the sessions that ``sessions_from_year`` names; ``earlier`` are the ``year_partials`` of the years
+    before. What is held of a competitor's earlier seasons enters the running sums as one cell per season and mode.
+    """
+    first = first_date_from(calendar, year)
+    if first is None:
+        return None
+    place = _placed_cells(results, calendar)
+    columns = ["driverid", "year", "mode", "numbered", "lo", "season_end", *M.PARTIALS]
+    seasons = calendar.index.groupBy(F.col("year").alias("of")).agg(F.max("season_end").alias("season_end"))
+    before = earlier.join(seasons, F.col("year") == F.col("of")).withColumn("lo", F.lit(first - 1).cast("long"))
+    career = place.where(F.year("day") >= year).select(*columns).unionByName(before.select(*columns))
+    recent = place
+    if calendar.windows:
+        recent = place.where(F.col(f"end_{max(calendar.windows)}") > first)
+    tasks = _tasks(results.sparkSession)
+    rows = _long_rows(career.repartition(tasks, "driverid"), recent.repartition(tasks, "driverid"), windows, calendar, first)
+    return _side_by_side(rows, windows, how, calendar)
+
+
+def first_date_from(calendar: Calendar, year: int) -> int | None:
+    """Number of the first reference date in a calendar year or later."""
+    return calendar.index.where(F.year("day") >= year).agg(F.min("idx")).first()[0]
+
+
+def sessions_from_year(calendar: Calendar, year: int) -> DataFrame:
+    """(year, roundnumber) of the rounds that some statistic from that calendar year on counts one by one."""
+    first = first_date_from(calendar, year)
+    needed = F.year("day") >= year
+    if calendar.windows and first is not None:
+        needed = needed | (F.col(f"end_{max(calendar.windows)}") > first)
+    return calendar.index.where(needed).select("year", "roundnumber").distinct()
+
+
 def snapshot_stats(results: DataFrame, as_of: str, max_season_gap: int = 2) -> DataFrame:
     """Career statistics at one date, which need not be a session date. Rows without a round count here.
 

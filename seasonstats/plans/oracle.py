@@ -99,7 +99,8 @@ def stats_cte(name: str, last: int | None) -> str:
 {name} AS MATERIALIZED (
   SELECT dt_ref, driverid, {METRIC_LIST}
   FROM (FROM ranked {among}) JOIN results USING (year, roundnumber)
-  WHERE CAST(date AS DATE) <= dt_ref AND (dt_ref, driverid) IN (SELECT (dt_ref, driverid) FROM eligible)
+  WHERE CAST(date AS DATE) <= dt_ref AND driverid IS NOT NULL
+    AND (dt_ref, driverid) IN (SELECT (dt_ref, driverid) FROM eligible)
   GROUP BY ALL)"""
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonstats.operators import evaluation, sampling
@@ -21,11 +21,13 @@ from seasonstats.operators.features import (
     window_stats,
 )
 from seasonstats.plans import oracle as O
+from seasonstats.plans.incremental import IncrementalLake
 from seasonstats.plans.lake import Lake
 from seasonstats.schema import LANDED, RESULTS, SESSION_KEY
 from seasonstats.sources import fixtures
 from seasonstats.sources import results as S
 from seasonstats.sources.shared import materialize, new_folder
+from seasonstats.streaming import current
 from seasonstats.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +131,42 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.read_results(spark, target, LANDED).select(*RESULT_COLUMNS)
 
 
+def _as_uri(folder: str) -> str:
+    return folder if ":/" in folder else f"file:{folder}"
+
+
+def _at(day: str) -> Column:
+    return F.lit(day).cast("timestamp")
+
+
+@query(f"""WITH {O.RESULTS} SELECT * REPLACE (CASE WHEN roundnumber % 2 = 0 THEN date + to_microseconds(123456) ELSE date END AS date)
+    FROM results""")
+def ingest_nanos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of even rounds land as files with times in nanoseconds, the others in microseconds."""
+    folder, first = _as_uri(new_folder(spark, "nanos")), _stored_results(spark, sf_dir)
+    landing, even = f"{folder}/landing", F.col("roundnumber") % 2 == 0
+    first.where(~even).repartition(*SESSION_KEY).write.parquet(landing)
+    late = first.where(even).withColumn("date", F.col("date") + F.expr("INTERVAL '0.123456' SECOND"))
+    fixtures.land_nanos(late, landing)
+    table = current.current_table(spark, f"{folder}/current")
+    current.keep_current(spark, landing, table, f"{folder}/checkpoint", max_files=50).awaitTermination()
+    return table.read().select(*RESULT_COLUMNS)
+
+
+@query(_REPLACED)
+def current_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings kept as current rows; the second one's batch comes again after it was stored, an older one late."""
+    first, folder = _stored_results(spark, sf_dir), new_folder(spark, "upsert")
+    table = current.current_table(spark, f"{folder}/current")
+    landed = lambda rows, day: S.normalise(rows.withColumn("landed_at", _at(day)), LANDED)
+    current.upsert(table, landed(first, "2001-01-01"), "landing", 0)
+    for _ in range(2):
+        current.upsert(table, landed(_corrections(first), "2001-01-02"), "landing", 1)
+    late = first.where("roundnumber % 3 = 0").withColumn("points", F.lit(0.0))
+    current.upsert(table, landed(late, "2000-12-31"), "landing", 2)
+    return table.read().select(*RESULT_COLUMNS)
+
+
 @query(f"""WITH {O.RESULTS}, held AS (SELECT * FROM results WHERE NOT (mode = 'Race' AND roundnumber = 5 + year % 4)),
   races AS (SELECT year AS y, roundnumber AS r, row_number() OVER (PARTITION BY year ORDER BY roundnumber) AS n
             FROM (SELECT DISTINCT year, roundnumber FROM held WHERE mode = 'Race' AND roundnumber BETWEEN 1 AND 49))
@@ -285,6 +323,27 @@ def lake_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.refresh(landing, *ABT_RANGE, year_start=FIRST, year_stop=LAST)
 
 
+_LATE_CORRECTED = _CORRECTED.replace("FROM results", "FROM raw").replace("roundnumber % 3 = 0", "year = 1999 AND roundnumber % 6 = 0")
+_LATE_CURRENT = f"""{_RAW}, {_LATE_CORRECTED},
+results AS MATERIALIZED (
+  SELECT * FROM corrected UNION ALL
+  SELECT * FROM raw WHERE (year, roundnumber, mode) NOT IN (SELECT (year, roundnumber, mode) FROM corrected))"""
+
+
+@query(f"WITH {O.ABT.replace(O.RESULTS, _LATE_CURRENT, 1)} SELECT * FROM abt")
+def refresh_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental flow: seasons up to 2000, then the last season, then corrections of two rounds of 1999."""
+    folder, first = new_folder(spark, "incremental"), _stored_results(spark, sf_dir)
+    lake = IncrementalLake(spark, f"{folder}/lake", year_start=FIRST, year_stop=LAST, start=ABT_RANGE[0], stop=ABT_RANGE[1])
+    fixed = _corrections(first.where("year = 1999 AND roundnumber % 6 = 0"))
+    for day, rows in enumerate((first.where(f"year < {LAST}"), first.where(f"year = {LAST}"), fixed), start=1):
+        stamped = rows.withColumn("landed_at", _at(f"2001-01-0{day}"))
+        stamped.repartition(*SESSION_KEY).write.mode("append").parquet(f"{folder}/landing")
+        lake.ingest(f"{folder}/landing")
+        lake.refresh()
+    return lake.read("abt")
+
+
 # Sampling -------------------------------------------------------------------------------------------
 
 OOT = fixtures.OOT_YEAR

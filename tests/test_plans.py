@@ -66,7 +66,7 @@ def test_base_table_and_training_rows_do_not_shuffle_features(stored):
     sets = plan(P.training_sets(base, 2001))
     wide = [line for line in sets.splitlines() if "Exchange hashpartitioning" in line and "driverid" in line]
     assert not wide
-    assert "PushedFilters: [IsNotNull(dt_ref)" in plan(abt(base.drop("flchampion"), champions(stored)))
+    assert "PushedFilters: [IsNotNull(dt_ref)" in plan(abt(base.drop("flchampion"), champions(stored), "1995-01-01", "2002-01-01"))
 
 
 def test_champions_are_limited_before_the_shuffle(stored):
