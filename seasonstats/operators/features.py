@@ -206,6 +206,47 @@ def window_stats(
     )
 
 
+def own_window_stats(
+    results: DataFrame,
+    last_starts: int,
+    year_start: int | None = FIRST_SEASON,
+    year_stop: int | None = LAST_SEASON,
+    max_season_gap: int = 2,
+    inclusive: bool = True,
+) -> DataFrame:
+    """43 statistics per (dt_ref, driverid) over the last N rounds that the competitor itself has started in.
+
+    Races and sprints of a round are one start, and a round without a number takes a place among the starts but is in no
+    statistics. A cell is repeated from its first date to the last one before the competitor's next N starts have all been
+    held, beyond which it surely has N newer ones; the exact rank among the starts seen is then taken date by date. With
+    rounds held in order that is N starts per date. All steps find the cells hashed by competitor.
+    """
+    calendar = build_calendar(results, (), year_start, year_stop, max_season_gap, inclusive)
+    dates = calendar.dates.count()  # one number
+    newest_first = [F.desc("year"), F.desc("roundnumber")]
+    by_start = Window.partitionBy("driverid").orderBy(*newest_first)
+    of_start = Window.partitionBy("driverid", "year", "roundnumber")
+    next_starts = Window.partitionBy("driverid").orderBy("start").rangeBetween(-last_starts, -1)
+    numbered = _cells(results, calendar).select(
+        "*", F.dense_rank().over(by_start).cast("long").alias("start"), F.min("lo").over(of_start).alias("first")
+    )
+    passed = F.when(F.col("start") > last_starts, F.max("first").over(next_starts) - 1)
+    placed = numbered.withColumn("until", F.coalesce(passed, F.lit(dates).cast("long")))
+    of_date = Window.partitionBy("driverid", "idx").orderBy(*newest_first)
+    seen = _dates_of(placed, "lo", "until").withColumn("nth", F.dense_rank().over(of_date)).where(F.col("nth") <= last_starts)
+    season = F.when(F.col("numbered"), F.col("year"))
+    sums = seen.groupBy("driverid", "idx").agg(
+        F.max("year").alias("latest_year"), F.size(F.collect_set(season)).cast("long").alias(M.SEASONS), *M.slice_sums()
+    )
+    return (
+        sums.where(F.col(M.SESSIONS) > 0)
+        .select("driverid", "idx", "latest_year", *M.finished_metrics())
+        .join(F.broadcast(calendar.dates), "idx")
+        .where(calendar.eligible(F.col("latest_year")))
+        .select(*KEY, *M.METRICS)
+    )
+
+
 def feature_table(
     results: DataFrame,
     windows: tuple[int | None, ...] = DEFAULT_WINDOWS,

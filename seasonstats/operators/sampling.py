@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seasonstats.functions.ordering import with_row_number
+from seasonstats.functions.selection import kth_smallest
 
 LABEL = "flchampion"
 ENTITY_SEASON = ["driverid", "year", LABEL]
@@ -26,7 +26,8 @@ def feature_names(abt: DataFrame) -> list[str]:
 
 
 def out_of_time(abt: DataFrame, oot_year: int = OOT_YEAR) -> DataFrame:
-    return with_year(abt).where(F.col("year") == oot_year)
+    """Rows of the season ``oot_year`` and of all later ones."""
+    return with_year(abt).where(F.col("year") >= oot_year)
 
 
 def analytics_rows(abt: DataFrame, oot_year: int = OOT_YEAR) -> DataFrame:
@@ -54,13 +55,11 @@ def split_digest(seed: int = SEED) -> Column:
 def split_limits(abt: DataFrame, oot_year: int = OOT_YEAR, fraction: float = TRAIN_FRACTION, seed: int = SEED) -> DataFrame:
     """(label, digest of its last training key): one row per label.
 
-    Per label the competitor-seasons with the lowest digests train, ``round(fraction * n)`` of them exactly.
-    Only the narrow keys are ordered; the wide rows are then compared with the limit of their label.
+    Per label the competitor-seasons with the lowest digests train, ``round(fraction * n)`` of them exactly. The limit is
+    selected by counts of digits, without an order of the keys; the wide rows are then compared with that of their label.
     """
     keys = entity_year_labels(abt, oot_year).select(LABEL, split_digest(seed).alias("digest"))
-    numbered = with_row_number(keys, [LABEL], [F.col("digest")], "nth")
-    in_training = F.col("nth") <= F.floor(F.col("nth_all") * fraction + 0.5)
-    return numbered.where(in_training).groupBy(LABEL).agg(F.max("digest").alias("digest_limit"))
+    return kth_smallest(keys, LABEL, "digest", lambda n: F.floor(n * fraction + 0.5)).withColumnRenamed("digest", "digest_limit")
 
 
 def group_split(abt: DataFrame, oot_year: int = OOT_YEAR, fraction: float = TRAIN_FRACTION, seed: int = SEED) -> DataFrame:
@@ -86,13 +85,18 @@ def training_sets(
     fraction: float = TRAIN_FRACTION,
     seed: int = SEED,
 ) -> DataFrame:
-    """All rows up to the out-of-time year with ``split`` train, test or oot. Late dates are dropped from
-    train and test only. No wide row is shuffled: limits and late dates are small and broadcast."""
-    before = analytics_rows(abt, oot_year)
-    late = _dates_from_last(before).where(F.col("nth") <= drop_last).drop("nth")  # drop_last rows per season
-    kept = before.join(F.broadcast(late), ["year", "dt_ref"], "left_anti")
-    split = _assign(kept, split_limits(abt, oot_year, fraction, seed), seed)
-    return split.unionByName(out_of_time(abt, oot_year).withColumn("split", F.lit("oot")))
+    """All rows with ``split`` train, test or oot (``oot_year`` and later). Late dates are dropped from train and test only.
+
+    The wide rows are read once and not shuffled: limits and late dates are small and broadcast.
+    """
+    late = _dates_from_last(analytics_rows(abt, oot_year)).where(F.col("nth") <= drop_last)  # drop_last rows per season
+    late = late.select(F.col("year").alias("late_year"), F.col("dt_ref").alias("late_date"))
+    limits = split_limits(abt, oot_year, fraction, seed)
+    rows = with_year(abt).where(F.col("year").isNotNull())
+    is_late = (F.col("year") == F.col("late_year")) & (F.col("dt_ref") == F.col("late_date"))
+    kept = rows.join(F.broadcast(late), is_late, "left_anti")
+    split = _assign(kept, limits, seed)
+    return split.withColumn("split", F.when(F.col("year") >= oot_year, "oot").otherwise(F.col("split")))
 
 
 def label_rates(rows: DataFrame) -> DataFrame:

@@ -108,6 +108,24 @@ def window_sql(last: int | None) -> str:
     return f"WITH {RESULTS}, {DATED}, {stats_cte('stats', last)} SELECT * FROM stats"
 
 
+def own_window_sql(last: int) -> str:
+    return f"""WITH {RESULTS}, {DATED}, {own_stats_cte(last)} SELECT * FROM stats"""
+
+
+def own_stats_cte(last: int) -> str:
+    """Over the rounds that the competitor itself has started in, the newest first."""
+    return f"""
+own AS MATERIALIZED (
+  SELECT dt_ref, driverid, year, roundnumber FROM dim_dates, (
+    SELECT driverid, year, roundnumber, min(CAST(date AS DATE)) AS first_day FROM results
+    WHERE driverid IS NOT NULL AND year IS NOT NULL GROUP BY ALL) WHERE first_day <= dt_ref
+  QUALIFY row_number() OVER (PARTITION BY dt_ref, driverid ORDER BY year DESC, roundnumber DESC NULLS LAST) <= {last}),
+stats AS MATERIALIZED (
+  SELECT dt_ref, driverid, {METRIC_LIST} FROM own JOIN results USING (driverid, year, roundnumber)
+  WHERE CAST(date AS DATE) <= dt_ref AND (dt_ref, driverid) IN (SELECT (dt_ref, driverid) FROM eligible)
+  GROUP BY ALL)"""
+
+
 WINDOWS = {"life": None, "last10": 10, "last20": 20, "last40": 40}
 FEATURES = [f"{metric}_{window}" for window in WINDOWS for metric in METRICS]
 _WIDE_LIST = ", ".join(f"{w}.{m} AS {m}_{w}" for w in WINDOWS for m in METRICS)
@@ -146,3 +164,54 @@ abt AS MATERIALIZED (
   SELECT f.dt_ref, f.driverid, f.avg_gridposition AS avg_gridposition_last10,
          CAST(coalesce(c.rankdriver, 0) AS BIGINT) AS flchampion
   FROM last10 f LEFT JOIN champions c ON c.driverid = f.driverid AND c.year = year(f.dt_ref))"""
+
+
+# A tree by its definition: per level and node, every split between two neighbouring distinct values of a feature.
+TREE_FEATURES = ["avg_gridposition", "qtde_points", "avg_position", "qtde_sessions_with_overtake_race"]
+TREE_DEPTH, TREE_LEAF = 3, 20
+
+
+def _mixed(n: str, p: str) -> str:
+    return f"CASE WHEN {n} = 0 THEN 0 ELSE 2.0::DOUBLE * ({p})::DOUBLE * (({n}) - ({p}))::DOUBLE / ({n})::DOUBLE END"
+
+
+def _tree_level(level: int) -> str:
+    return f"""
+long{level} AS MATERIALIZED (
+  SELECT node, place, value, count(*) AS n, sum(flchampion) AS p FROM (
+    SELECT node, flchampion, unnest(range({len(TREE_FEATURES)})) AS place,
+           unnest([{", ".join(TREE_FEATURES)}]) AS value FROM at{level})
+  GROUP BY ALL),
+split{level} AS MATERIALIZED (
+  SELECT node, place, value, (value + next) / 2 AS threshold, an, ap,
+         {_mixed("ln", "lp")} + {_mixed("an - ln", "ap - lp")} AS left_over
+  FROM (SELECT node, place, value, lead(value) OVER along AS next, sum(n) OVER upto AS ln, sum(p) OVER upto AS lp,
+               sum(n) OVER (PARTITION BY node, place) AS an, sum(p) OVER (PARTITION BY node, place) AS ap
+        FROM long{level} WINDOW along AS (PARTITION BY node, place ORDER BY value),
+          upto AS (PARTITION BY node, place ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+  WHERE next IS NOT NULL AND ln >= {TREE_LEAF} AND an - ln >= {TREE_LEAF}),
+best{level} AS MATERIALIZED (
+  SELECT node, place, threshold, {_mixed("an", "ap")} - left_over AS decrease FROM split{level}
+  WHERE {_mixed("an", "ap")} - left_over > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY left_over, place, value) = 1),
+at{level + 1} AS MATERIALIZED (
+  SELECT a.* REPLACE (2 * a.node + CASE WHEN [{", ".join(TREE_FEATURES)}][b.place + 1] <= b.threshold THEN 0 ELSE 1 END AS node)
+  FROM at{level} a JOIN best{level} b ON b.node = a.node)"""
+
+
+TREE_ABT = f"""{RESULTS}, {DATED}, {stats_cte('last10', 10)}, {RANKING},
+abt AS MATERIALIZED (
+  SELECT f.dt_ref, f.driverid, {", ".join(f"coalesce(f.{m}::DOUBLE, -10000) AS {m}" for m in TREE_FEATURES)},
+         CAST(coalesce(c.rankdriver, 0) AS BIGINT) AS flchampion
+  FROM last10 f LEFT JOIN champions c ON c.driverid = f.driverid AND c.year = year(f.dt_ref)
+  WHERE f.dt_ref >= DATE '1995-01-01' AND f.dt_ref < DATE '2002-01-01')"""
+_PASSED = " UNION ALL ".join(f"SELECT * FROM at{level}" for level in range(TREE_DEPTH + 1))
+_SPLITS = " UNION ALL ".join(f"SELECT * FROM best{level}" for level in range(TREE_DEPTH))
+TREE = f"""{TREE_ABT}, at0 AS MATERIALIZED (SELECT *, 1::BIGINT AS node FROM abt),
+{", ".join(_tree_level(level) for level in range(TREE_DEPTH))},
+passed AS MATERIALIZED ({_PASSED}), splits AS MATERIALIZED ({_SPLITS}),
+tree AS MATERIALIZED (
+  SELECT node, [{", ".join(f"'{m}'" for m in TREE_FEATURES)}][place + 1] AS feature, threshold, rows, positives,
+         {_mixed("rows", "positives")} / rows::DOUBLE AS impurity, decrease
+  FROM (SELECT node, count(*) AS rows, CAST(sum(flchampion) AS BIGINT) AS positives FROM passed GROUP BY node)
+  LEFT JOIN splits USING (node))"""

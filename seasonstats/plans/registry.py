@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonstats.operators import evaluation, sampling
+from seasonstats.operators import evaluation, sampling, tree
 from seasonstats.operators import model as forest
 from seasonstats.operators.abt import abt
 from seasonstats.operators.calendar import last_rounds, ranked_rounds, reference_dates
@@ -16,6 +16,7 @@ from seasonstats.operators.features import past_sessions as expanded_sessions
 from seasonstats.operators.features import (
     eligible_entities,
     feature_table,
+    own_window_stats,
     past_session_counts,
     snapshot_stats,
     window_stats,
@@ -28,7 +29,7 @@ from seasonstats.sources import fixtures
 from seasonstats.sources import results as S
 from seasonstats.sources.shared import materialize, new_folder
 from seasonstats.streaming import current
-from seasonstats.streaming.ingest import ingest
+from seasonstats.streaming.ingest import ingest, score_following
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -167,6 +168,19 @@ def current_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read().select(*RESULT_COLUMNS)
 
 
+@query(f"WITH {O.RESULTS} SELECT *, 1::BIGINT AS files FROM results")
+def compact_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions that came in four parts each, put together; every row is given with the number of its session's files."""
+    first, folder = _stored_results(spark, sf_dir), new_folder(spark, "compact")
+    table = current.current_table(spark, f"{folder}/current")
+    for part in range(4):
+        rows = first.where(F.pmod(F.xxhash64("driverid"), F.lit(4)) == part).withColumn("landed_at", _at("2001-01-01"))
+        current.upsert(table, S.normalise(rows, LANDED), "landing", part)
+    table.compact(least_files=2)
+    held = table.files().groupBy(*SESSION_KEY).agg(F.count(F.lit(1)).alias("files"))
+    return table.read().select(*RESULT_COLUMNS).join(held, SESSION_KEY)
+
+
 @query(f"""WITH {O.RESULTS}, held AS (SELECT * FROM results WHERE NOT (mode = 'Race' AND roundnumber = 5 + year % 4)),
   races AS (SELECT year AS y, roundnumber AS r, row_number() OVER (PARTITION BY year ORDER BY roundnumber) AS n
             FROM (SELECT DISTINCT year, roundnumber FROM held WHERE mode = 'Race' AND roundnumber BETWEEN 1 AND 49))
@@ -245,6 +259,11 @@ for _name, _last in O.WINDOWS.items():
     _window_query(_name, _last)
 
 
+@query(O.own_window_sql(10))
+def window_stats_own10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return own_window_stats(_stored_results(spark, sf_dir), 10, FIRST, LAST)
+
+
 @query(f"""WITH {O.RESULTS}, until AS (SELECT * FROM results WHERE CAST(date AS DATE) <= DATE '{O.SNAPSHOT_DATE}')
     SELECT DATE '{O.SNAPSHOT_DATE}' AS dt_ref, driverid, {O.METRIC_LIST} FROM until
     WHERE driverid IN (SELECT driverid FROM until WHERE year >= (SELECT max(year) - 2 FROM until))
@@ -359,10 +378,10 @@ _SPLIT = f"""split AS (
 _SETS = f"""sets AS (
   SELECT y.*, s.split FROM yeared y JOIN split s USING (driverid, year, flchampion)
   JOIN dated d ON d.year = y.year AND d.dt_ref = y.dt_ref AND d.nth > 5
-  UNION ALL SELECT *, 'oot' FROM yeared WHERE year = {OOT})"""
+  UNION ALL SELECT *, 'oot' FROM yeared WHERE year >= {OOT})"""
 
 
-@query(f"WITH {_WIDE_YEARED} SELECT * FROM yeared WHERE year = {OOT}")
+@query(f"WITH {_WIDE_YEARED} SELECT * FROM yeared WHERE year >= {OOT}")
 def oot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.out_of_time(_stored_abt(spark, sf_dir), OOT)
 
@@ -463,6 +482,72 @@ def model_one_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.score(forest.load_latest(spark, folder), rows)
 
 
+_MANY_POINTS = "coalesce(qtde_points > 20, FALSE)"
+
+
+@query(f"""WITH {O.TREE_ABT}, marked AS (SELECT *, avg_gridposition > -10000 AND avg_gridposition <= 11 AS low, qtde_points > 20 AS many FROM abt)
+    SELECT dt_ref, driverid, CASE WHEN year(dt_ref) < 1999 THEN 1 ELSE 2 END AS version,
+           CASE WHEN year(dt_ref) < 1999 THEN avg(flchampion) OVER (PARTITION BY low) ELSE avg(flchampion) OVER (PARTITION BY many) END AS proba
+    FROM marked""")
+def scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that come in two parts, each scored by the newest model of its time."""
+    rows = _tree_rows(spark, sf_dir)
+    rows = rows.withColumns({"low": F.expr("coalesce(avg_gridposition <= 11, FALSE)").cast("long"), "many": F.expr(_MANY_POINTS).cast("long")})
+    folder = new_folder(spark, "scored")
+    models, source, target = (f"{folder}/{name}" for name in ("models", "source", "scores"))
+    early = F.year("dt_ref") < 1999
+    for feature, part in (("low", early), ("many", ~early)):
+        fitted = forest.fit(rows, [feature], trees=1, min_leaf=1, max_depth=1, bootstrap=False)
+        forest.save_version(fitted, spark, models)
+        rows.where(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        score_following(spark, stream, models, target, f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(target).select("dt_ref", "driverid", "version", "proba")
+
+
+def _tree_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = _stored_results(spark, sf_dir)
+    last10 = window_stats(results, 10, FIRST, LAST).select("dt_ref", "driverid", *O.TREE_FEATURES)
+    return materialize(abt(last10, champions(results), *ABT_RANGE), "tree_abt")
+
+
+def _grown(rows: DataFrame) -> DataFrame:
+    return tree.grow_tree(rows, O.TREE_FEATURES, O.TREE_DEPTH, O.TREE_LEAF)
+
+
+@query(f"WITH {O.TREE} SELECT * FROM tree")
+def tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _grown(_tree_rows(spark, sf_dir))
+
+
+@query(f"""WITH {O.TREE} SELECT dt_ref, driverid, positives / rows AS proba FROM passed JOIN tree USING (node) WHERE feature IS NULL""")
+def tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _tree_rows(spark, sf_dir)
+    return tree.score_tree(_grown(rows), rows)
+
+
+_SUMMED = "list_reduce(list_sort(list(decrease)), lambda a, b: a + b)"
+
+
+@query(f"""WITH {O.TREE}, own AS (SELECT feature, {_SUMMED} AS own FROM tree WHERE feature IS NOT NULL GROUP BY feature)
+    SELECT feature, coalesce(own / (SELECT {_SUMMED} FROM tree WHERE feature IS NOT NULL), 0) AS importance
+    FROM (SELECT unnest([{", ".join(f"'{m}'" for m in O.TREE_FEATURES)}]) AS feature) LEFT JOIN own USING (feature)""")
+def tree_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree.tree_importances(_grown(_tree_rows(spark, sf_dir)), O.TREE_FEATURES)
+
+
+@query(f"""WITH {O.SHORT_ABT}, scores AS (
+    SELECT proba, sum(flchampion) AS p, count(*) - sum(flchampion) AS n
+    FROM (SELECT flchampion, avg(flchampion) OVER (PARTITION BY {_LOW_GRID}) AS proba FROM abt) GROUP BY proba)
+  SELECT sum(p * (below + n / 2)) / (sum(p)::DOUBLE * sum(n)) AS auc FROM (
+    SELECT *, coalesce(sum(n) OVER (ORDER BY proba ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM scores)""")
+def model_one_split_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit, score and judge in a row, on the same tree of one split."""
+    rows = _short_abt(spark, sf_dir).withColumn("low_grid", F.expr(_LOW_GRID).cast("long"))
+    fitted = forest.fit(rows, ["low_grid"], trees=1, min_leaf=1, max_depth=1, bootstrap=False)
+    return evaluation.auc(forest.with_probability(fitted, rows), "proba")
+
+
 @query()
 def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.feature_importances(_fitted(spark, sf_dir)[1], spark)

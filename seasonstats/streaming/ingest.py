@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from seasonstats.operators.model import DEFAULT_ID, score
+from seasonstats.operators.model import DEFAULT_ID, latest_version, load_version, score
 from seasonstats.schema import LANDED, SESSION_KEY
 from seasonstats.sources.results import normalise
 
@@ -65,3 +65,31 @@ def score_stream(
     every: str | None = None,
 ) -> StreamingQuery:
     return append_table(score(model, rows, id_columns), target, checkpoint, every)
+
+
+def score_following(
+    spark: SparkSession,
+    rows: DataFrame,
+    models: str,
+    target: str,
+    checkpoint: str,
+    id_columns: tuple[str, ...] = DEFAULT_ID,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Score every batch of a stream with the model that is the newest when the batch comes, and store the version with
+    the scores. A batch that is run again replaces what it has written, as a whole with the model of that time.
+    """
+    loaded: dict[int, PipelineModel] = {}
+
+    def take(batch: DataFrame, number: int) -> None:
+        version = latest_version(spark, models)
+        if version not in loaded:
+            loaded.clear()
+            loaded[version] = load_version(spark, models, version)
+        if batch.isEmpty():
+            return
+        scored = score(loaded[version], batch, id_columns).withColumn("version", F.lit(version))
+        scored.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    writer = rows.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return writer.trigger(**({"processingTime": every} if every else {"availableNow": True})).start()

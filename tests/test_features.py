@@ -52,6 +52,14 @@ def test_window_stats_equal_plain_form(table, seed, last):
     assert rows_of(stats) == expected
 
 
+@pytest.mark.parametrize(("seed", "last"), [(1, 1), (2, 4), (3, 2), (6, 30)])
+def test_own_window_stats_equal_plain_form(table, seed, last):
+    rows = random_rows(seed, ordered=seed == 3)
+    expected, _ = duck_rows(duck_results(rows), f"WITH {O.DATED}, {O.own_stats_cte(last)} SELECT * FROM stats")
+    assert rows_of(X.own_window_stats(table(rows), last, FIRST, LAST)) == expected
+    assert expected
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 def test_rounds_and_eligible_equal_plain_form(table, seed):
     rows = random_rows(seed)
