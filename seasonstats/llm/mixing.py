@@ -80,6 +80,16 @@ def apportion(cells: DataFrame, keys: list[str], claim: str, seats: int, claims:
     )
 
 
+def _rest_of_target(block: int, most: int) -> Column:
+    """What a shard takes beside its blocks: the source's target less all its blocks, as far as shards have room, in order."""
+    of_source = Window.partitionBy("source")
+    ahead = of_source.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    missing = F.round(F.max("target").over(of_source)).cast("long") - F.sum(F.col("quota") * block).over(of_source)
+    room = most * F.col("tokens") - F.col("quota") * block
+    left = missing - F.coalesce(F.sum(room).over(ahead), F.lit(0))
+    return F.greatest(F.lit(0), F.least(left, room))
+
+
 def mix_sources(
     docs: DataFrame, id_column: str = "doc_id", source_column: str = "source", text_column: str = "text",
     weights=WEIGHTS, share: float = SHARE, most: int = MOST, block: int = BLOCK, shard_rows: int = SHARD_ROWS,
@@ -88,7 +98,7 @@ def mix_sources(
     """doc_id, size, source_size, target, taken (words the mix takes of the row, repeats counted) and source.
 
     A null source is a source, the last. Null or empty text has size 0 and gives 0. Repeated rows are rows of their
-    own. A source of fewer words than a block gets what whole blocks allow. Other columns are not read.
+    own. What whole blocks leave of a source's target is given to its shards as parts of a block. Other columns are not read.
     """
     sized = docs.select(
         F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"), word_count(F.col(text_column)).alias("size")
@@ -104,7 +114,7 @@ def mix_sources(
         F.sum("size").alias("tokens"), F.first("source_size").alias("source_size"), F.first("target").alias("target")
     )
     cells = cells.where("tokens > 0").select(
-        "source", "shard", "tokens",
+        "source", "shard", "tokens", "target",
         (F.col("target") * F.col("tokens") / F.col("source_size")).alias("claim"),
         F.floor(most * F.col("tokens") / block).alias("cap"),
     )
@@ -114,7 +124,8 @@ def mix_sources(
     quotas = apportion(cells, ["source", "shard"], "claim", int(claims / block + 0.5), claims, n, "cap")
     start = _number(F.md5(F.concat_ws("|", F.lit(f"{seed} start"), F.coalesce("source", F.lit("")), F.col("shard"))))
     blocks = F.ceil(F.col("tokens") / block)
-    words = F.col("quota") * block
+    quotas = quotas.withColumn("words", F.col("quota") * block + _rest_of_target(block, most))
+    words = F.col("words")
     quotas = quotas.select(
         F.col("source").alias("q_source"), F.col("shard").alias("q_shard"), "tokens", "quota",
         F.floor(words / F.col("tokens")).alias("rounds"), F.pmod(words, F.col("tokens")).alias("rest"),
