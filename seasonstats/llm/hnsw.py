@@ -12,7 +12,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonstats.sources.shared import materialize
@@ -150,6 +150,16 @@ def usable(column: str):
     return F.expr(f"{column} IS NOT NULL AND size({column}) > 0 AND NOT {bad} AND exists({column}, x -> x <> 0)")
 
 
+def scaled(column: str) -> Column:
+    """The vector times the power of two that brings its largest component to 0.5 up to 1. That is exact: vectors that are
+    such multiples of one another become equal, and no cosine changes."""
+    largest = f"array_max(transform({column}, x -> abs(x)))"
+    about = F.expr(f"pow(2D, -greatest(-1000D, least(1000D, floor(log2({largest})) + 1)))")
+    once = F.transform(F.col(column), lambda x: x * about)
+    most = F.array_max(F.transform(once, F.abs))
+    return F.transform(once, lambda x: x * F.when(most >= 1, 0.5).when(most < 0.5, 2.0).otherwise(1.0))
+
+
 def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
@@ -159,8 +169,8 @@ def build_index(vectors: DataFrame, id_column: str, vector_column: str, k: int,
     """A row per shard: dim, shard, its distinct vectors, up to k + 1 least ids of each, and the graph's flat arrays."""
     good = vectors.where(usable(vector_column) & F.col(id_column).isNotNull()).select(
         F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vector")
-    )
-    # More than k + 1 equal vectors never enter one result. The window keeps as many per task before the shuffle.
+    ).withColumn("vector", scaled("vector"))
+    # Equal vectors, or multiples by a power of two, are one point. More than k + 1 of them never enter one result. The window keeps as many per task before the shuffle.
     least = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     points = good.withColumn("place", least).where(F.col("place") <= k + 1).groupBy("vector").agg(
         F.sort_array(F.collect_list("id")).alias("ids")
@@ -203,6 +213,7 @@ def nearest_vectors(
     asked = vectors.where(usable(vector_column) & (F.col(id_column) % every == 0)).select(
         F.col(id_column).cast("long").alias("query_id"), F.col(vector_column).cast("array<double>").alias("vector")
     )
+    asked = asked.withColumn("vector", scaled("vector"))
     asked = materialize(asked.withColumn("row", F.monotonically_increasing_id()).withColumn("dim", F.size("vector")), "queries")
     blocks = max(1, math.ceil(asked.count() / QUERY_BLOCK))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
@@ -221,7 +232,7 @@ def nearest_vectors(
             ids, ends = np.array(shard["ids"]), np.cumsum(shard["counts"])
             graph = Graph.read(points, shard["graph"], shard["lengths"])
             given = _matrix(queries.column("vector"), queries.num_rows)
-            found = graph.search(given, beam)[:, : 4 * k]
+            found = graph.search(given, beam)
             rows, own = queries.column("row").to_pylist(), queries.column("query_id").to_pylist()
             norms = np.linalg.norm(points, axis=1)
             for i, near in enumerate(found):
