@@ -76,7 +76,7 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN, id_column: str = "doc_id
     alike; other rows with one id follow in the order of a hash of their texts.
     """
     gone = materialize(later_copies(docs, run, id_column, text_column), "gone").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "gone"
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("gone").alias("__gone")
     )
     named = docs.drop("n_lines", "n_removed")
     # Split before the join, whose output the lambda reads; a text in a lambda would be split again for every line.
@@ -86,10 +86,10 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN, id_column: str = "doc_id
         gone.hint("merge"), F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left"
     )
     lines = F.col(text_column)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
-    left = F.when(F.col("gone").isNull(), lines).otherwise(F.transform(kept, lambda i: lines[i]))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__gone")
+    left = F.when(F.col("__gone").isNull(), lines).otherwise(F.transform(kept, lambda i: lines[i]))
     return joined.select(
         *[F.array_join(left, "\n").alias(c) if c == text_column else F.col(c) for c in named.columns],
         F.when(lines.isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long").alias("n_removed"),
+        F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone")).cast("long").alias("n_removed"),
     )
