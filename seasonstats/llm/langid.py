@@ -25,10 +25,11 @@ TRAINING, LANDMARKS = 192, 64  # texts of a language to learn from at most, and
 RIDGE, SHARPNESS = 1e-2, 4.0
 CHUNK = 1 << 20
 
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[:128] = 32
-_FOLD[65:91] = np.arange(97, 123)
-_FOLD[97:123] = np.arange(97, 123)
+# Bytes as 155 symbols: a blank, 26 letters without case, and the bytes beyond ASCII.
+_FOLD = np.zeros(256, np.uint8)
+_FOLD[65:91] = _FOLD[97:123] = np.arange(1, 27)
+_FOLD[128:] = np.arange(27, 155)
+SYMBOLS = 155
 
 
 def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -46,7 +47,7 @@ def _sequences(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.n
     count = max(0, len(data) - length + 1)
     codes = np.zeros(count, np.int32)
     for i in range(length):
-        codes = (codes << 8) | data[i : i + count]
+        codes = codes * SYMBOLS + data[i : i + count]
     texts = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))[:count]
     inside = np.arange(count) + length <= offsets[1:][texts]
     return codes[inside], texts[inside]
@@ -67,7 +68,7 @@ class KernelModel:
         if self.places is None:
             self.places = []
             for length, known in zip(LENGTHS, self.known, strict=True):
-                place = np.full(1 << (8 * length), len(known), np.int32)
+                place = np.full(SYMBOLS**length, len(known), np.int32)
                 place[known] = np.arange(len(known))
                 self.places.append(place)
         data, offsets = _bytes(texts)

@@ -85,7 +85,7 @@ class Subwords:
     together by whole arrays. Words of letters that the normaliser leaves alone go straight to the library's model.
     """
 
-    MOST_KEPT = 1_200_000  # words kept between batches; the rest is encoded again
+    MOST_KEPT = 300_000  # words kept between batches, some 60 MB in each worker; the rest is encoded again
     ENDS = ".,;:!?"  # runs of these are a token split of their own after letters
 
     def __init__(self, path: str):
