@@ -153,11 +153,12 @@ def usable(column: str):
 def scaled(column: str) -> Column:
     """The vector times the power of two that brings its largest component to 0.5 up to 1. That is exact: vectors that are
     such multiples of one another become equal, and no cosine changes."""
-    largest = f"array_max(transform({column}, x -> abs(x)))"
-    about = F.expr(f"pow(2D, -greatest(-1000D, least(1000D, floor(log2({largest})) + 1)))")
-    once = F.transform(F.col(column), lambda x: x * about)
-    most = F.array_max(F.transform(once, F.abs))
-    return F.transform(once, lambda x: x * F.when(most >= 1, 0.5).when(most < 0.5, 2.0).otherwise(1.0))
+    largest = F.greatest(F.array_max(column), -F.array_min(column))
+    power = F.greatest(F.lit(-1000.0), F.least(F.lit(1000.0), F.floor(F.log2(largest)).cast("double") + 1))
+    about = F.pow(F.lit(2.0), -power)
+    scale = about * F.when(largest * about >= 1, 0.5).when(largest * about < 0.5, 2.0).otherwise(1.0)
+    # Repeated into an array, as a value in a lambda would be computed again for every component.
+    return F.zip_with(F.col(column), F.array_repeat(scale, F.size(column)), lambda x, by: x * by)
 
 
 def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
