@@ -1,18 +1,22 @@
-"""Line dedup: repeated runs of lines by ranks of line sequences, in DataFrame functions only.
+"""Line dedup: maximal repeated runs of lines from a suffix array of line sequences, in DataFrame functions only.
 
-Lines get numbers in one global order. Prefix doubling then ranks, in order, the sequences of twice as many lines by the
-pairs of ranks of their halves, until the sequences are as long as the shortest run that counts. Suffixes with one rank
-form an interval of the suffix array in which at least so many lines are common; sequences that occur once are dropped
-as soon as that shows. All of an interval's members but the first in (id, place) start a later copy, and the union of
-these, line by line, is the maximal repeated runs.
+Written lines get places in one global order, with a gap after each document. Prefix doubling sorts the suffixes by their
+first 1, 2, 4, ... lines: a suffix's rank is that of its two halves' ranks, and suffixes of one rank are an interval of
+the suffix array whose members have that many lines in common. Each interval knows its first place; a suffix whose lines
+occur once leaves, and doubling ends when none is left, so the rounds follow the longest repeated run.
+
+A suffix that is not the first of its interval has an earlier copy of that length at least. The longest-common-prefix
+interval between two lengths of doubling is found by halving: half as many lines more are tried, then a quarter, by the
+ranks that are stored. What is found is the longest run at each place that also starts earlier. Runs that reach further
+than those before them are maximal; what they cover is deleted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from seasonstats.functions.ordering import with_row_number
+from seasonstats.functions.ordering import with_row_number, with_running_totals
 from seasonstats.sources.shared import materialize
 
 RUN = 2  # lines; a single line that is repeated is usual in clean text
@@ -23,47 +27,125 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _documents(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(start, doc_id, text_hash, cells): the written lines (no, a, b) of each document and the place of its first line.
+    Rows that agree in id and text are one document; a null id comes last."""
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).withColumn(
+        "text_hash", F.xxhash64("text")
+    )
+    numbered = F.transform(_lines(F.col("text")), lambda x, i: F.struct(i.alias("no"), x.alias("line")))
+    written = F.filter(numbered, lambda x: x["line"].rlike(WRITTEN))
+    cells = F.transform(
+        written,
+        lambda x: F.struct(
+            x["no"].alias("no"), F.xxhash64(x["line"]).alias("a"), F.xxhash64(F.lit(1), x["line"]).alias("b")
+        ),
+    )
+    held = texts.select("doc_id", "text_hash", cells.alias("cells")).where(F.size("cells") > 0)
+    held = held.dropDuplicates(["doc_id", "text_hash"])
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash")]
+    placed = with_running_totals(held, [], order, {"place": F.size("cells").cast("long") + 1})
+    return placed.select(F.col("place_before").alias("start"), "doc_id", "text_hash", "cells")
+
+
 def _ranked(rows: DataFrame, key: list[str]) -> DataFrame:
-    """``rows`` with the rank of their ``key`` as ``rank``, without those whose key occurs once."""
-    groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("held")).where("held > 1").select(*key)
+    """``rows`` whose ``key`` occurs more than once, with its ``rank`` in the order of keys and its ``first`` place."""
+    groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("held"), F.min("pos").alias("first")).where("held > 1")
     # The numbers are stored, so that the join may split a key that very many rows have.
-    numbered = with_row_number(groups, [], [F.col(k) for k in key], "rank").select(*key, "rank")
-    return materialize(rows.drop("rank").join(materialize(numbered, "ranks"), key).drop(*key), "suffixes")
+    numbered = with_row_number(groups.drop("held"), [], [F.col(k) for k in key], "rank").select(*key, "rank", "first")
+    return materialize(rows.join(materialize(numbered, "ranks"), key).drop(*key), "suffixes")
+
+
+def _sorted_suffixes(documents: DataFrame) -> list[DataFrame]:
+    """For each k the suffixes (pos, rank, first) whose first 2**k lines occur elsewhere, too; also start for k = 0."""
+    lines = documents.select("start", F.posexplode("cells").alias("place", "at"))
+    lines = lines.select((F.col("start") + F.col("place")).alias("pos"), "start", "at.a", "at.b")
+    levels = [_ranked(materialize(lines, "lines"), ["a", "b"])]
+    while True:
+        ahead = 1 << (len(levels) - 1)
+        rows = levels[-1].select("pos", F.col("rank").alias("begin"))
+        after = levels[-1].select((F.col("pos") - ahead).alias("pos"), F.col("rank").alias("then"))
+        found = _ranked(materialize(rows.join(after, "pos"), "pairs"), ["begin", "then"])
+        if found.isEmpty():
+            return levels
+        levels.append(found)
+
+
+def _earlier_runs(levels: list[DataFrame]) -> DataFrame:
+    """(pos, start, length, first): the longest run of lines at each place that also starts earlier, and where first."""
+    at = None
+    for k, level in enumerate(levels):
+        start = F.col("start") if k == 0 else F.lit(None).cast("long")
+        later = level.where("first < pos").select("pos", start.alias("start"), F.lit(k).alias("k"), "first")
+        at = later if at is None else at.unionByName(later)
+    longest = at.groupBy("pos").agg(F.max("start").alias("start"), F.max(F.struct("k", "first")).alias("best"))
+    length = F.expr("shiftleft(1L, best.k)")
+    runs = materialize(
+        longest.select("pos", "start", F.col("best.k").alias("k"), length.alias("length"), F.col("best.first").alias("first")),
+        "runs",
+    )
+    for j in range(len(levels) - 2, -1, -1):
+        # Suffixes of one run so far are compared with one another and with its first copy. The first suffix of the longer
+        # run is among them: were its own run longer still, that run's first would be the first here.
+        tried = runs.where(F.col("k") > j)
+        firsts = tried.select(F.col("first").alias("pos"), "length", "first").distinct()
+        all_tried = tried.unionByName(firsts, allowMissingColumns=True)
+        ranks = levels[j].select(F.col("pos").alias("next"), F.col("rank").alias("then"))
+        more = materialize(
+            all_tried.withColumn("next", F.col("pos") + F.col("length")).join(ranks, "next", "left").drop("next"), "tried"
+        )
+        key = ["length", "first", "then"]
+        sooner = materialize(more.where("then IS NOT NULL").groupBy(*key).agg(F.min("pos").alias("sooner")), "sooner")
+        tested = more.where("k IS NOT NULL").join(sooner, key, "left")
+        grown = F.coalesce(F.col("sooner") < F.col("pos"), F.lit(False))
+        tested = tested.select(
+            "pos", "start", "k",
+            F.when(grown, F.col("length") + (1 << j)).otherwise(F.col("length")).alias("length"),
+            F.when(grown, F.col("sooner")).otherwise(F.col("first")).alias("first"),
+        )
+        runs = materialize(runs.where(F.col("k") <= j).unionByName(tested), "runs")
+    return runs.drop("k")
+
+
+def _along() -> WindowSpec:
+    """The places of one document."""
+    return Window.partitionBy("start").orderBy("pos")
 
 
 def later_copies(docs: DataFrame, run: int = RUN, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, text_hash, gone): of each document that holds any, the numbers, from 0, of the lines within a run of at
     least ``run`` lines that also starts earlier."""
-    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).withColumn(
-        "text_hash", F.xxhash64("text")
+    documents = _documents(docs, id_column, text_column)
+    runs = _earlier_runs(_sorted_suffixes(documents))
+    reach = F.max(F.when(F.col("length") >= run, F.col("pos") + F.col("length"))).over(_along())
+    covered = runs.select("start", "pos", reach.alias("reach")).where("reach > pos")
+    places = covered.groupBy("start").agg(F.collect_list((F.col("pos") - F.col("start")).cast("int")).alias("places"))
+    return documents.join(places, "start").select(
+        "doc_id", "text_hash", F.transform("places", lambda p: F.col("cells")[p]["no"]).alias("gone")
+    )
+
+
+def maximal_runs(docs: DataFrame, run: int = RUN, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The repeated runs of at least ``run`` written lines that are within no other such run of their document: doc_id,
+    line (number, from 0), length (written lines), first_doc_id and first_line, where the same lines start first.
+
+    Ids, repeated rows and texts without a line are taken as in ``drop_repeated_runs``; no runs give no rows.
+    """
+    documents = _documents(docs, id_column, text_column)
+    levels = _sorted_suffixes(documents)
+    runs = _earlier_runs(levels).where(F.col("length") >= run)
+    before = F.max(F.col("pos") + F.col("length")).over(_along().rowsBetween(Window.unboundedPreceding, -1))
+    ends = F.col("pos") + F.col("length")
+    most = runs.withColumn("before", before).where(F.col("before").isNull() | (ends > F.col("before"))).drop("before")
+    starts = levels[0].select(F.col("pos").alias("first"), F.col("start").alias("first_start"))
+    most = materialize(most.join(starts, "first"), "maximal_runs")
+    own = documents.select("start", "doc_id", "cells")
+    firsts = documents.select(F.col("start").alias("first_start"), F.col("doc_id").alias("first_doc_id"), F.col("cells").alias("first_cells"))
+    line = lambda cells, pos, start: F.col(cells)[(F.col(pos) - F.col(start)).cast("int")]["no"]
+    found = most.join(own, "start").withColumn("line", line("cells", "pos", "start")).drop("cells")
+    return found.join(firsts, "first_start").select(
+        "doc_id", "line", "length", "first_doc_id", line("first_cells", "first", "first_start").alias("first_line")
     )
-    lines = _lines(F.col("text"))
-    numbered = F.transform(lines, lambda x, i: F.struct(i.alias("no"), x.alias("line")))
-    written = F.filter(numbered, lambda x: x["line"].rlike(WRITTEN))
-    placed = texts.select("doc_id", "text_hash", F.posexplode(written).alias("place", "at"))
-    # Rows that agree in id and text are one document.
-    placed = placed.select(
-        "doc_id", "text_hash", "place", F.array("at.no").alias("nos"), F.xxhash64("at.line").alias("a"),
-        F.xxhash64(F.lit(1), "at.line").alias("b"),
-    ).distinct()
-    rows = _ranked(materialize(placed, "lines"), ["a", "b"])
-    length = 1
-    while length < run:
-        step = min(length, run - length)
-        ahead = Window.partitionBy("doc_id", "text_hash").orderBy("place").rangeBetween(step, step)
-        pairs = rows.withColumn("more", F.first(F.struct("rank", "nos")).over(ahead)).where("more IS NOT NULL")
-        pairs = pairs.select(
-            "doc_id", "text_hash", "place", F.array_union("nos", "more.nos").alias("nos"), F.col("rank").alias("begin"),
-            F.col("more.rank").alias("then"),
-        )
-        rows = _ranked(pairs, ["begin", "then"])
-        length += step
-    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "place")
-    # Stored, so that the join may split a rank that very many suffixes have.
-    firsts = materialize(rows.groupBy("rank").agg(F.min(at).alias("first")), "firsts")
-    later = rows.join(firsts, "rank").where(~F.col("first").eqNullSafe(at))
-    gone = later.select("doc_id", "text_hash", F.explode("nos").alias("no"))
-    return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("no").alias("gone"))
 
 
 def drop_repeated_runs(docs: DataFrame, run: int = RUN, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

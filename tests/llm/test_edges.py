@@ -116,3 +116,41 @@ def test_clean_texts_of_few_languages_stay(spark, languages):
 def test_symbols_keep_every_byte_beyond_ascii_apart():
     assert len(set(langid._FOLD[128:].tolist())) == 128 and langid._FOLD.max() == langid.SYMBOLS - 1
     assert langid._FOLD[ord("Q")] == langid._FOLD[ord("q")] > 0 == langid._FOLD[ord("5")]
+
+
+def _maximal_by_hand(texts: list[tuple], run: int) -> set[tuple]:
+    """Runs of each document by comparing every two places."""
+    order = sorted(texts, key=lambda t: (t[0] is None, t[0] or 0))
+    lines = [(d, [(n, x) for n, x in enumerate((t or "").split("\n")) if x.strip()]) for d, t in order]
+    places = [(i, p) for i, (_, own) in enumerate(lines) for p in range(len(own))]
+    found = set()
+    for at, (i, p) in enumerate(places):
+        best = (0, None)
+        for j, q in places[:at]:
+            size = 0
+            while (p + size < len(lines[i][1]) and q + size < len(lines[j][1])
+                   and lines[i][1][p + size][1] == lines[j][1][q + size][1]):
+                size += 1
+            if size > best[0]:
+                best = (size, (j, q))
+        if p == 0:
+            reach = 0
+        if best[0] >= run and p + best[0] > reach:
+            reach = p + best[0]
+            j, q = best[1]
+            found.add((lines[i][0], lines[i][1][p][0], best[0], lines[j][0], lines[j][1][q][0]))
+    return found
+
+
+@pytest.mark.parametrize("run", [1, 2, 5])
+def test_maximal_runs(spark, run):
+    draw = random.Random(run)
+    texts = [(i, "\n".join(draw.choice("abc" if i % 3 else "abcdefgh") for _ in range(draw.randint(0, 14)))) for i in range(14)]
+    long = [f"line {i}" for i in range(37)]
+    texts += [(20, "\n".join(long)), (21, "\n".join(["x", *long[3:30], "", *long[30:35]])), (22, None), (23, " \n\n"),
+              (24, "\n".join(long[5:20] + long[4:21])), (None, "\n".join(long[::-1] + long)), (25, "\n".join(["same"] * 21))]
+    docs = spark.createDataFrame(texts + texts[:3], "doc_id long, text string").repartition(3)
+    found = [tuple(r) for r in linededup.maximal_runs(docs, run).collect()]
+    assert len(found) == len(set(found)) and set(found) == _maximal_by_hand(texts, run)
+    assert any(r[2] > 16 for r in found)
+    assert linededup.maximal_runs(docs.limit(0), run).count() == 0
