@@ -1,13 +1,15 @@
 """Line dedup: maximal repeated runs of lines from a suffix array of line sequences, in DataFrame functions only.
 
-Written lines get places in one global order, with a gap after each document. Prefix doubling sorts the suffixes by their
-first 1, 2, 4, ... lines: a suffix's rank is that of its two halves' ranks, and suffixes of one rank are an interval of
-the suffix array whose members have that many lines in common. Each interval knows its first place; a suffix whose lines
-occur once leaves, and doubling ends when none is left, so the rounds follow the longest repeated run.
+Written lines get places in one global order, with a gap after each document. Prefix doubling names the sequences of the
+first 1, 2, 4, ... lines of each suffix by the names of their two halves; the name is the first place that has the
+sequence. Suffixes of one name are an interval of the suffix array in which that many lines are common (the names of all
+lengths, one after the other, are a suffix's key in the array; branches of an interval follow in the order of their first
+places, where the alphabet's order would do no more). A suffix whose lines occur once leaves, and doubling ends when
+none is left, so the rounds follow the longest repeated run.
 
 A suffix that is not the first of its interval has an earlier copy of that length at least. The longest-common-prefix
 interval between two lengths of doubling is found by halving: half as many lines more are tried, then a quarter, by the
-ranks that are stored. What is found is the longest run at each place that also starts earlier. Runs that reach further
+names that are stored. What is found is the longest run at each place that also starts earlier. Runs that reach further
 than those before them are maximal; what they cover is deleted.
 """
 
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from seasonstats.functions.ordering import with_row_number, with_running_totals
+from seasonstats.functions.ordering import with_running_totals
 from seasonstats.sources.shared import materialize
 
 RUN = 2  # lines; a single line that is repeated is usual in clean text
@@ -48,27 +50,28 @@ def _documents(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return placed.select(F.col("place_before").alias("start"), "doc_id", "text_hash", "cells")
 
 
-def _ranked(rows: DataFrame, key: list[str]) -> DataFrame:
-    """``rows`` whose ``key`` occurs more than once, with its ``rank`` in the order of keys and its ``first`` place."""
+def _named(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` whose ``key`` occurs more than once, with the ``first`` place that has it, which also names the key."""
     groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("held"), F.min("pos").alias("first")).where("held > 1")
-    # The numbers are stored, so that the join may split a key that very many rows have.
-    numbered = with_row_number(groups.drop("held"), [], [F.col(k) for k in key], "rank").select(*key, "rank", "first")
-    return materialize(rows.join(materialize(numbered, "ranks"), key).drop(*key), "suffixes")
+    # Stored, so that the join may split a key that very many rows have.
+    return rows.join(materialize(groups.drop("held"), "intervals"), key).drop(*key)
 
 
-def _sorted_suffixes(documents: DataFrame) -> list[DataFrame]:
-    """For each k the suffixes (pos, rank, first) whose first 2**k lines occur elsewhere, too; also start for k = 0."""
+def _suffixes(documents: DataFrame) -> list[DataFrame]:
+    """For each k the suffixes (pos, first) whose first 2**k lines occur elsewhere, too; also start for k = 0."""
     lines = documents.select("start", F.posexplode("cells").alias("place", "at"))
     lines = lines.select((F.col("start") + F.col("place")).alias("pos"), "start", "at.a", "at.b")
-    levels = [_ranked(materialize(lines, "lines"), ["a", "b"])]
-    while True:
-        ahead = 1 << (len(levels) - 1)
-        rows = levels[-1].select("pos", F.col("rank").alias("begin"))
-        after = levels[-1].select((F.col("pos") - ahead).alias("pos"), F.col("rank").alias("then"))
-        found = _ranked(materialize(rows.join(after, "pos"), "pairs"), ["begin", "then"])
-        if found.isEmpty():
-            return levels
+    found, levels = materialize(_named(materialize(lines, "lines"), ["a", "b"]), "suffixes"), []
+    while not levels or not found.isEmpty():
         levels.append(found)
+        ahead = 1 << (len(levels) - 1)
+        rows = found.select("pos", F.col("first").alias("begin"))
+        after = found.select((F.col("pos") - ahead).alias("pos"), F.col("first").alias("then"))
+        pairs = materialize(rows.join(after, "pos"), "pairs")
+        if pairs.isEmpty():
+            break
+        found = materialize(_named(pairs, ["begin", "then"]), "suffixes")
+    return levels
 
 
 def _earlier_runs(levels: list[DataFrame]) -> DataFrame:
@@ -80,30 +83,29 @@ def _earlier_runs(levels: list[DataFrame]) -> DataFrame:
         at = later if at is None else at.unionByName(later)
     longest = at.groupBy("pos").agg(F.max("start").alias("start"), F.max(F.struct("k", "first")).alias("best"))
     length = F.expr("shiftleft(1L, best.k)")
-    runs = materialize(
+    doubled = materialize(
         longest.select("pos", "start", F.col("best.k").alias("k"), length.alias("length"), F.col("best.first").alias("first")),
         "runs",
     )
+    runs = doubled.where(F.col("k") == len(levels) - 1)
     for j in range(len(levels) - 2, -1, -1):
         # Suffixes of one run so far are compared with one another and with its first copy. The first suffix of the longer
         # run is among them: were its own run longer still, that run's first would be the first here.
-        tried = runs.where(F.col("k") > j)
-        firsts = tried.select(F.col("first").alias("pos"), "length", "first").distinct()
-        all_tried = tried.unionByName(firsts, allowMissingColumns=True)
-        ranks = levels[j].select(F.col("pos").alias("next"), F.col("rank").alias("then"))
-        more = materialize(
-            all_tried.withColumn("next", F.col("pos") + F.col("length")).join(ranks, "next", "left").drop("next"), "tried"
+        firsts = runs.select(F.col("first").alias("pos"), "length", "first").distinct()
+        tried = runs.unionByName(firsts, allowMissingColumns=True)
+        names = levels[j].select(F.col("pos").alias("next"), F.col("first").alias("then"))
+        tried = materialize(
+            tried.withColumn("next", F.col("pos") + F.col("length")).join(names, "next", "left").drop("next"), "tried"
         )
         key = ["length", "first", "then"]
-        sooner = materialize(more.where("then IS NOT NULL").groupBy(*key).agg(F.min("pos").alias("sooner")), "sooner")
-        tested = more.where("k IS NOT NULL").join(sooner, key, "left")
+        sooner = materialize(tried.where("then IS NOT NULL").groupBy(*key).agg(F.min("pos").alias("sooner")), "sooner")
         grown = F.coalesce(F.col("sooner") < F.col("pos"), F.lit(False))
-        tested = tested.select(
+        tested = tried.where("k IS NOT NULL").join(sooner, key, "left").select(
             "pos", "start", "k",
             F.when(grown, F.col("length") + (1 << j)).otherwise(F.col("length")).alias("length"),
             F.when(grown, F.col("sooner")).otherwise(F.col("first")).alias("first"),
         )
-        runs = materialize(runs.where(F.col("k") <= j).unionByName(tested), "runs")
+        runs = tested.unionByName(doubled.where(F.col("k") == j))
     return runs.drop("k")
 
 
@@ -116,7 +118,7 @@ def later_copies(docs: DataFrame, run: int = RUN, id_column: str = "doc_id", tex
     """(doc_id, text_hash, gone): of each document that holds any, the numbers, from 0, of the lines within a run of at
     least ``run`` lines that also starts earlier."""
     documents = _documents(docs, id_column, text_column)
-    runs = _earlier_runs(_sorted_suffixes(documents))
+    runs = _earlier_runs(_suffixes(documents))
     reach = F.max(F.when(F.col("length") >= run, F.col("pos") + F.col("length"))).over(_along())
     covered = runs.select("start", "pos", reach.alias("reach")).where("reach > pos")
     places = covered.groupBy("start").agg(F.collect_list((F.col("pos") - F.col("start")).cast("int")).alias("places"))
@@ -132,7 +134,7 @@ def maximal_runs(docs: DataFrame, run: int = RUN, id_column: str = "doc_id", tex
     Ids, repeated rows and texts without a line are taken as in ``drop_repeated_runs``; no runs give no rows.
     """
     documents = _documents(docs, id_column, text_column)
-    levels = _sorted_suffixes(documents)
+    levels = _suffixes(documents)
     runs = _earlier_runs(levels).where(F.col("length") >= run)
     before = F.max(F.col("pos") + F.col("length")).over(_along().rowsBetween(Window.unboundedPreceding, -1))
     ends = F.col("pos") + F.col("length")
