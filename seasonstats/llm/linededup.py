@@ -57,13 +57,16 @@ def _named(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(materialize(groups.drop("held"), "intervals"), key).drop(*key)
 
 
-def _suffixes(documents: DataFrame) -> list[DataFrame]:
-    """For each k the suffixes (pos, first) whose first 2**k lines occur elsewhere, too; also start for k = 0."""
+def _suffixes(documents: DataFrame, longest: int | None = None) -> list[DataFrame]:
+    """For each k the suffixes (pos, first) whose first 2**k lines occur elsewhere, too; also start for k = 0. Doubling ends
+    when there are none, or beyond ``longest`` lines."""
     lines = documents.select("start", F.posexplode("cells").alias("place", "at"))
     lines = lines.select((F.col("start") + F.col("place")).alias("pos"), "start", "at.a", "at.b")
     found, levels = materialize(_named(materialize(lines, "lines"), ["a", "b"]), "suffixes"), []
     while not levels or not found.isEmpty():
         levels.append(found)
+        if longest is not None and 1 << len(levels) > longest:
+            break
         ahead = 1 << (len(levels) - 1)
         rows = found.select("pos", F.col("first").alias("begin"))
         after = found.select((F.col("pos") - ahead).alias("pos"), F.col("first").alias("then"))
@@ -114,11 +117,13 @@ def _along() -> WindowSpec:
     return Window.partitionBy("start").orderBy("pos")
 
 
-def later_copies(docs: DataFrame, run: int = RUN, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def later_copies(
+    docs: DataFrame, run: int = RUN, id_column: str = "doc_id", text_column: str = "text", longest: int | None = None
+) -> DataFrame:
     """(doc_id, text_hash, gone): of each document that holds any, the numbers, from 0, of the lines within a run of at
     least ``run`` lines that also starts earlier."""
     documents = _documents(docs, id_column, text_column)
-    runs = _earlier_runs(_suffixes(documents))
+    runs = _earlier_runs(_suffixes(documents, longest))
     reach = F.max(F.when(F.col("length") >= run, F.col("pos") + F.col("length"))).over(_along())
     covered = runs.select("start", "pos", reach.alias("reach")).where("reach > pos")
     places = covered.groupBy("start").agg(F.collect_list((F.col("pos") - F.col("start")).cast("int")).alias("places"))
@@ -150,7 +155,9 @@ def maximal_runs(docs: DataFrame, run: int = RUN, id_column: str = "doc_id", tex
     )
 
 
-def drop_repeated_runs(docs: DataFrame, run: int = RUN, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def drop_repeated_runs(
+    docs: DataFrame, run: int = RUN, id_column: str = "doc_id", text_column: str = "text", longest: int | None = None
+) -> DataFrame:
     """All columns of ``docs`` with the text without later copies of repeated runs, and n_lines and n_removed (these
     replace columns of the same names).
 
@@ -158,8 +165,11 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN, id_column: str = "doc_id
     first copy in the order of ids, then of places, stays. Blank lines and lines outside of runs stay as they are. Null
     text stays null, with no lines. A null id comes last; rows that agree in id and text are one document and are treated
     alike; other rows with one id follow in the order of a hash of their texts.
+
+    With ``longest`` (at least ``run``) doubling ends at so many lines. The text is the same: a longer run is the union of
+    its parts of ``run`` lines.
     """
-    gone = materialize(later_copies(docs, run, id_column, text_column), "gone").select(
+    gone = materialize(later_copies(docs, run, id_column, text_column, longest), "gone").select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("gone").alias("__gone")
     )
     named = docs.drop("n_lines", "n_removed")

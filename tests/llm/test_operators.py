@@ -198,6 +198,8 @@ def test_runs_of_any_length(spark, run):
     assert gone[1] == "a\nb\nc\nd\ne"
     assert gone[2] == {1: "x\ny", 3: "x\ny\na\nb", 4: "x\nb\nc\nd\ny\na\nb"}[run]
     assert gone[None] == ""
+    short = linededup.drop_repeated_runs(docs, run, longest=run).collect()
+    assert {r["doc_id"]: r["text"] for r in short} == gone
 
 
 def test_language(spark, none):
