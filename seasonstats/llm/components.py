@@ -33,7 +33,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:
     """Links (neighbour, least neighbour or the node itself) of each node; with ``larger`` for greater neighbours only."""
-    least = links.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # Stored, so that the join may split a node that very many links have.
+    least = materialize(links.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     near = links.join(least, "a")
     if larger:
         found = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
