@@ -176,15 +176,15 @@ def similarity_classes(
 
     Two rows link when ``under`` * |intersection| >= ``over`` * |union| of their sets. Null and blank texts have empty
     sets and no links. Rows with the same set are one node, so that copies are never paired. A row with a null id links
-    others but has the least id that is not null as component, null if there is none. Other columns are not read.
+    others but has the least id that is not null as component, null if there is none. Rows with one id but other sets
+    are told apart. Other columns are not read.
     """
     found = materialize(surviving_sets(docs, n, over, under, id_column, text_column), "survivors")
-    # Equal sets: one node, numbered by its least id, or apart from all ids by its key if it has none.
+    # Equal sets: one node, numbered by its key; ids may be missing, or stand for many texts.
     alike = found.where("key IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("members").alias("members")
     )
-    node = F.coalesce("least", -1 - F.shiftrightunsigned(F.xxhash64("key"), 2))
-    sets = materialize(alike.withColumn("node", node), "sets")
+    sets = materialize(alike.withColumn("node", F.xxhash64("key")), "sets")
     # Sets whose sizes allow a link are in the same or in neighbouring classes.
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(under / over)).cast("int")
     held = incidence(sets, over, under).select(
@@ -221,7 +221,7 @@ def similarity_classes(
     named = sets.select("key", "node", "least").join(classes, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
-    # The component's name is its least id; nodes without an id lie below all of them.
+    # The component's name is its least id.
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = materialize(named.join(names, "component").select("key", "component_id"), "classes")
     return found.select("doc_id", "n", "key").join(named, "key", "left").select(
