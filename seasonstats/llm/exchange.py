@@ -1,6 +1,6 @@
 """Exchange of n-gram hashes between buckets of documents.
 
-Documents are dealt once into buckets by id. Each bucket sends its distinct hashes, cut by value into as many ranges,
+Documents are dealt once into buckets by id and text. Each bucket sends its distinct hashes, cut by value into as many ranges,
 and gets back what the other buckets know of them. A hash thus travels once per bucket however many documents hold it,
 and in sorted arrays rather than in rows. All passes over the documents read the same shuffle.
 """
@@ -39,8 +39,9 @@ def bucket_count(docs: DataFrame, text_column: str = "text") -> int:
 
 
 def deal(docs: DataFrame, buckets: int, id_column: str = "doc_id", text_column: str = "text", *more: Column) -> DataFrame:
-    """(bucket, doc_id, text, *more) shuffled into buckets, copies of an id together."""
-    bucket = F.pmod(F.xxhash64(F.col(id_column)), F.lit(buckets)).cast("int").alias("bucket")
+    """(bucket, doc_id, text, *more) shuffled into buckets by id and text, so that the rows of a frequent id, or without
+    one, spread over all buckets. Every job deals alike."""
+    bucket = F.pmod(F.xxhash64(F.col(id_column), F.col(text_column)), F.lit(buckets)).cast("int").alias("bucket")
     named = docs.select(bucket, F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), *more)
     return named.repartition(buckets, "bucket")
 
