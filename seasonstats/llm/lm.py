@@ -304,11 +304,11 @@ def _fitted_on(dealt: DataFrame, path: str, model: Attention, end: int) -> Atten
 
 
 def _training_windows(docs: DataFrame, path: str, words_learnt: int, end: int) -> np.ndarray:
-    """Windows of whole training documents drawn by the hash of their ids, about TRAINING_WINDOWS of them. The fit starts
-    from these; ``_fitted_on`` takes it to all others."""
+    """Windows of whole training documents drawn by the hash of id and text, about TRAINING_WINDOWS of them. The fit
+    starts from these; ``_fitted_on`` takes it to all others."""
     # A word has some two subwords or more.
     part = min(1.0, TRAINING_WINDOWS * WINDOW / max(1, 2 * words_learnt))
-    drawn = docs.where("learn").where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 20)) < int(part * (1 << 20)) + 1)
+    drawn = docs.where("learn").where(F.pmod(F.xxhash64(F.lit(3), "doc_id", "text"), F.lit(1 << 20)) < int(part * (1 << 20)) + 1)
 
     def cut(batches):
         for batch in batches:
