@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 
@@ -212,3 +213,30 @@ def test_no_rows(table):
     assert X.window_stats(table([])).collect() == []
     assert X.feature_table(table([])).collect() == []
     assert X.snapshot_stats(table([]), "2000-01-01").collect() == []
+
+
+def test_cells_are_not_repeated_by_date_before_they_are_added_up(table):
+    results = table(random_rows(7))
+    for stats in (X.window_stats(results, 4), X.own_window_stats(results, 4), X.feature_table(results, (None, 2, 4))):
+        plan = stats._jdf.queryExecution().optimizedPlan().toString()
+        steps = re.findall("Generate explode|MapInArrow", plan)  # the last step first
+        assert steps and steps == ["Generate explode", "MapInArrow"] * (len(steps) // 2)
+
+
+def test_sums_that_would_be_rounded_are_added_up_date_by_date(table):
+    places = [1e9, 0.1, 0.7, 1e16, 0.1, float("inf"), 0.2]
+    rows = [row(f"1995-{m:02d}-15", "a", round_=m, points=p) for m, p in enumerate(places, start=1)]
+    rows += [row(f"1995-{m:02d}-15", "b", round_=m, points=0.5) for m in range(1, 8)]
+    points = {(str(r["dt_ref"]), r["driverid"]): r["qtde_points"] for r in X.window_stats(table(rows), 1).collect()}
+    assert points == {(str(r[3].date()), r[4]): r[8] for r in rows}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_windows_side_by_side_equal_each_window(table, how):
+    rows = [(*r[:8], 0.1 if r[4] == "d1" else r[8], *r[9:]) for r in random_rows(8)]
+    wide = [r.asDict() for r in X.feature_table(table(rows), (2, 6), how=how).collect()]
+    for last in (2, 6):
+        own = {(r["dt_ref"], r["driverid"]): r.asDict() for r in X.window_stats(table(rows), last).collect()}
+        for r in wide:
+            found = own.get((r["dt_ref"], r["driverid"]), {})
+            assert [r[f"{m}_last{last}"] for m in METRICS] == pytest.approx([found.get(m) for m in METRICS])
