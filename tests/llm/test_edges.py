@@ -154,3 +154,13 @@ def test_maximal_runs(spark, run):
     assert len(found) == len(set(found)) and set(found) == _maximal_by_hand(texts, run)
     assert any(r[2] > 16 for r in found)
     assert linededup.maximal_runs(docs.limit(0), run).count() == 0
+
+
+def test_line_stage_doubles_to_the_longest_run(spark, monkeypatch):
+    levels, suffixes = [], linededup._suffixes
+    monkeypatch.setattr(linededup, "_suffixes", lambda *a: levels.append(suffixes(*a)) or levels[-1])
+    rows = [(i, "first\nsecond\nthird\nfourth", "en", "web", 25) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.lines(spark, docs, SF).collect()
+    assert [(r["doc_id"], r["text"]) for r in kept] == [(0, rows[0][1])]
+    assert len(levels[0]) == 3  # runs of 1, 2 and 4 lines
