@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seasonstats.llm.text import chunks
+from seasonstats.llm.text import chunks, release
 from seasonstats.sources.shared import materialize
 
 UNDETERMINED = "und"
@@ -168,10 +168,13 @@ def identify_languages(
     names = named.columns
 
     def predicted(batches):
+        release()
         for batch in batches:
             for part in chunks(batch, text_column, CHUNK):
                 lang, score = model.predict(part.column(text_column))
                 yield pa.RecordBatch.from_arrays([*part.columns, lang, score], [*names, "lang_pred", "score"])
+        model.places = None
+        release()
 
     schema = T.StructType([*named.schema.fields]).add("lang_pred", "string").add("score", "double")
     return named.mapInArrow(predicted, schema)

@@ -157,6 +157,7 @@ def pack_documents(
             yield packer.taken()
         packer.close()
         yield packer.taken()
+        pa.default_memory_pool().release_unused()
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     return chosen.mapInArrow(packed, PIECES)

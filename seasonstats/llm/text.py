@@ -166,3 +166,11 @@ def subwords(path: str) -> Subwords:
     if path not in _SUBWORDS:
         _SUBWORDS[path] = Subwords(path)
     return _SUBWORDS[path]
+
+
+def release() -> None:
+    """Give back what this Python worker holds for other stages: words kept by encoders, and Arrow's unused memory. Spark keeps
+    a worker for a while, also when stages follow that need none."""
+    for encoder in _SUBWORDS.values():
+        encoder.kept.clear()
+    pa.default_memory_pool().release_unused()

@@ -6,10 +6,12 @@ import random
 from heapq import nlargest
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from seasonstats.llm import hnsw, langid, linededup, mixing
+from seasonstats.llm import hnsw, langid, linededup, mixing, text
+from seasonstats.llm.queries import tokenizer_path
 from seasonstats.llm.shipping import ship
 from tests.conftest import SF
 
@@ -164,3 +166,12 @@ def test_line_stage_doubles_to_the_longest_run(spark, monkeypatch):
     kept = corpus_pipeline.lines(spark, docs, SF).collect()
     assert [(r["doc_id"], r["text"]) for r in kept] == [(0, rows[0][1])]
     assert len(levels[0]) == 3  # runs of 1, 2 and 4 lines
+
+
+def test_words_kept_by_an_encoder_are_given_back():
+    encoder = text.subwords(tokenizer_path())
+    texts = pa.array(["some words, some twice", None])
+    ids = encoder.encode(texts)[0].tolist()
+    assert encoder.kept
+    text.release()
+    assert not encoder.kept and text.subwords(tokenizer_path()).encode(texts)[0].tolist() == ids
