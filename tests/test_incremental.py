@@ -205,3 +205,15 @@ def test_empty_lake(spark, folder):
     C.upsert(lake.current, spark.createDataFrame([], LANDED), "s", 0)
     lake.refresh()
     assert lake.read("champions").count() == 0 and len(RESULTS.fields) == 13
+
+
+def test_the_footer_reader_runs_where_the_package_is_missing():
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from seasonstats.streaming.current import _nano_columns
+
+    load = "import pickle, sys; sys.exit(0 if callable(pickle.load(sys.stdin.buffer)) else 1)"
+    subprocess.run([sys.executable, "-I", "-c", load], input=cloudpickle.dumps(_nano_columns()), cwd="/", check=True)
