@@ -13,6 +13,7 @@ from seasonstats.operators import sampling as P
 from seasonstats.operators.abt import abt
 from seasonstats.operators.champions import champions
 from seasonstats.plans import oracle as O
+from seasonstats.plans import registry
 from seasonstats.sources import fixtures
 from seasonstats.sources import results as S
 from seasonstats.sources.shared import materialize
@@ -91,3 +92,11 @@ def test_heavy_competitor_and_session(table):
     for last in (None, 4):
         expected, _ = duck_rows(con, f"WITH {O.DATED}, {O.stats_cte('stats', last)} SELECT * FROM stats")
         assert rows_of(X.window_stats(results, last, FIRST, LAST)) == expected
+
+
+@pytest.mark.parametrize("name", ["oot_rows", "model_input_example"])
+def test_wide_rows_that_are_read_once_are_not_stored(spark, monkeypatch, name):
+    stored = []
+    monkeypatch.setattr(registry, "materialize", lambda df, table, keep=registry.materialize: stored.append(table) or keep(df, table))
+    registry.QUERIES[name](spark, SF)
+    assert "abt" not in stored
