@@ -100,3 +100,18 @@ def test_wide_rows_that_are_read_once_are_not_stored(spark, monkeypatch, name):
     monkeypatch.setattr(registry, "materialize", lambda df, table, keep=registry.materialize: stored.append(table) or keep(df, table))
     registry.QUERIES[name](spark, SF)
     assert "abt" not in stored
+
+
+def test_wide_rows_are_not_joined_with_their_dates(stored):
+    text = plan(X.feature_table(stored, year_start=FIRST, year_stop=LAST))
+    assert text.count("MapInArrow") == 2 and "Join" not in text[: text.rindex("MapInArrow")].split("MapInArrow")[0], text
+
+
+def test_results_are_added_up_by_hash(spark):
+    assert "SortAggregate" not in plan(fixtures.results(spark, SF))
+
+
+def test_intervals_of_many_dates_are_handed_over_in_parts(stored, monkeypatch):
+    whole = rows_of(X.feature_table(stored, year_start=FIRST, year_stop=LAST))
+    monkeypatch.setattr(X, "ROWS", 3)
+    assert rows_of(X.feature_table(stored, year_start=FIRST, year_stop=LAST)) == whole
