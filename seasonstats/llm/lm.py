@@ -30,6 +30,7 @@ CLASSES, WIDTH, OWN = 192, 16, 4096  # OWN: the most frequent subwords have a ve
 TRAINING_WINDOWS, EPOCHS, BATCH, RATE = 24_576, 2, 256, 0.01  # the bound of the sample that the fit starts from
 ON_RATE = 0.003  # of the fit to all windows, which goes on from the sample's
 SCORED = 96  # windows at once, so that a batch stays in the processor's cache
+FITTED = 32  # windows of a batch at once, likewise
 WORDS, SUBWORDS = -1, -2  # names of messages for no bucket
 SPACING = np.uint64(1 << 44)  # spreads subword ids over the ranges of hashes
 BLOCK = 1024  # numbers of an array that is summed up over tasks, in one row
@@ -81,16 +82,17 @@ class Attention:
         x = w["own"][own]
         x += w["group"][group]
         x += w["place"][:t]
-        q, k, v = np.split(x @ w["qkv"], 3, axis=2)
+        # Whole matrices: numpy multiplies a stack of small ones one by one.
+        q, k, v = np.split((x.reshape(-1, width) @ w["qkv"]).reshape(*x.shape[:2], -1), 3, axis=2)
         q = q * np.float32(width**-0.5)
         a = q @ k.transpose(0, 2, 1)
         if len(a) and max(a.max(), -a.min()) > 60:
             np.clip(a, -60, 60, out=a)
         np.exp(a, out=a)
         a *= self.seen[:t, :t]
-        a /= a.sum(axis=2, keepdims=True)
+        a /= (a.reshape(-1, t) @ np.ones(t, np.float32)).reshape(*a.shape[:2], 1)
         z = a @ v
-        return x + z @ w["back"], (own, group, x, q, k, v, a, z)
+        return x + (z.reshape(-1, width) @ w["back"]).reshape(x.shape), (own, group, x, q, k, v, a, z)
 
     def _logits(self, hidden: np.ndarray, group: np.ndarray) -> np.ndarray:
         out = hidden @ self.w["out"]
@@ -98,35 +100,53 @@ class Attention:
         return out if len(out) and out.max() < 60 else np.clip(out, -60, 60, out=out)
 
     def gradients(self, ids: np.ndarray, target: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean loss of the windows and its gradient, a few windows at a time, so that what is between stays in the cache."""
+        g = {k: np.zeros_like(self.w[k]) for k in self.fitted}
+        loss, seen = 0.0, []
+        for i in range(0, len(ids), FITTED):
+            loss += self._add_gradients(ids[i : i + FITTED], target[i : i + FITTED], target.size, g, seen)
+        # A frequent subword's vector belongs to one class, so both sums are made from one order of the places.
+        own, group, dx = (np.concatenate(x) for x in zip(*seen, strict=True))
+        key = np.where(own < self.own, own, self.own + group)
+        order = np.argsort(key, kind="stable")
+        head = np.flatnonzero(np.diff(key[order], prepend=-1))
+        sums = np.add.reduceat(dx[order], head, axis=0)
+        first = order[head]
+        frequent = own[first] < self.own
+        g["own"][own[first][frequent]] = sums[frequent]
+        np.add.at(g["group"], group[first], sums)
+        return loss, g
+
+    def _add_gradients(self, ids: np.ndarray, target: np.ndarray, n: int, g: dict[str, np.ndarray], seen: list) -> float:
+        """Adds these windows' share of a batch of ``n`` places to ``g``, and that of the vectors of places to ``seen``."""
         w, width = self.w, self.w["back"].shape[0]
         h, (own, group, x, q, k, v, a, z) = self._hidden(ids)
-        d = np.exp(self._logits(h, group))
-        d /= d.sum(axis=2, keepdims=True)
-        n = target.size
-        rows, places = np.indices(target.shape)
-        loss = -float(np.log(d[rows, places, target]).mean())
-        d[rows, places, target] -= 1
-        d /= n
         flat = lambda m: m.reshape(-1, m.shape[-1])
-        g = {"out": flat(h).T @ flat(d)}
+        d = self._logits(flat(h), group.ravel())
+        np.exp(d, out=d)
+        total = d @ np.ones(d.shape[1], np.float32)
+        rows, wanted = np.arange(len(d)), target.ravel()
+        loss = float(np.log(total / d[rows, wanted]).sum()) / n
+        d *= (1 / (total * np.float32(n)))[:, None]
+        d[rows, wanted] -= np.float32(1 / n)
+        g["out"] += flat(h).T @ d
         if "pairs" in self.fitted:
-            g["pairs"] = np.zeros_like(w["pairs"])
-            np.add.at(g["pairs"], group.ravel(), flat(d))
-        dh = d @ w["out"].T
-        g["back"] = flat(z).T @ flat(dh)
-        dz = dh @ w["back"].T
+            np.add.at(g["pairs"], group.ravel(), d)
+        dh = (d @ w["out"].T).reshape(h.shape)
+        g["back"] += flat(z).T @ flat(dh)
+        dz = flat(dh) @ w["back"].T
+        dz = dz.reshape(z.shape)
         dv = a.transpose(0, 2, 1) @ dz
-        da = dz @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
+        ds = dz @ v.transpose(0, 2, 1)
+        # The sum of a place's attention times what it is wanted to be is what it has read times how that is wanted.
+        ds -= (dz * z).sum(axis=2, keepdims=True)
+        ds *= a
         dqkv = np.concatenate([ds @ k * np.float32(width**-0.5), ds.transpose(0, 2, 1) @ q, dv], axis=2)
-        g["qkv"] = flat(x).T @ flat(dqkv)
-        dx = dh + dqkv @ w["qkv"].T
-        g["place"] = dx.sum(axis=0)
-        for name, at in (("own", own), ("group", group)):
-            g[name] = np.zeros_like(w[name])
-            np.add.at(g[name], at.ravel(), flat(dx))
-        g["own"][-1] = 0  # shared by all rare subwords
-        return loss, g
+        g["qkv"] += flat(x).T @ flat(dqkv)
+        dx = dh + (flat(dqkv) @ w["qkv"].T).reshape(h.shape)
+        g["place"][: dx.shape[1]] += dx.sum(axis=0)
+        seen.append((own.ravel(), group.ravel(), flat(dx)))
+        return loss
 
     def fit(self, windows: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE) -> list[float]:
         """Adam over ``windows`` of WINDOW + 1 ids; the loss of each step."""
@@ -187,7 +207,7 @@ class Attention:
             group = self.v.group[target]
             out = self._logits(hidden[scored], self.v.group[ahead[scored]])
             value = out[np.arange(len(target)), group] + self.v.share[target]
-            value -= np.log(np.exp(out, out=out).sum(axis=1))
+            value -= np.log(np.exp(out, out=out) @ np.ones(out.shape[1], np.float32))
             total += np.bincount(np.repeat(owner[a : a + SCORED], scored.sum(axis=1)), value, len(total))
         return total / np.log(10)
 

@@ -300,6 +300,28 @@ def test_attention_scores_are_probabilities_and_causal():
     assert model.score(long, np.array([0, 200]))[0] == pytest.approx(sum(model.score(long, np.array([0, 200]))), rel=1e-9)
 
 
+@pytest.mark.parametrize("pairs", [None, np.ones((4, 4))])
+def test_gradients_are_the_same_in_parts_and_by_differences(monkeypatch, pairs):
+    vocabulary = lm.Vocabulary(np.arange(20.0, 0, -1), 4)
+    model = lm.Attention(vocabulary, width=6, own=7, pairs=pairs)
+    ids = np.random.default_rng(4).integers(0, 20, (5, lm.WINDOW + 1))
+    ids, target = ids[:, :-1], vocabulary.group[ids[:, 1:]]
+    found = {}
+    for windows in (1, 2, 100):
+        monkeypatch.setattr(lm, "FITTED", windows)
+        found[windows] = model.gradients(ids, target)
+        assert found[windows][0] == pytest.approx(found[1][0], rel=1e-5)
+    for name, whole in found[100][1].items():
+        assert whole == pytest.approx(found[1][1][name], abs=1e-6) and whole == pytest.approx(found[2][1][name], abs=1e-6)
+        m, at = model.w[name], np.unravel_index(np.abs(whole).argmax(), whole.shape)
+        kept, sides = m[at], []
+        for step in (0.02, -0.02):
+            m[at] = kept + step
+            sides.append(model.gradients(ids, target)[0])
+        m[at] = kept
+        assert whole[at] == pytest.approx((sides[0] - sides[1]) / 0.04, rel=0.05)
+
+
 def test_nearest_vectors(spark):
     ship(spark)
     draw = np.random.default_rng(8)
