@@ -107,6 +107,17 @@ def test_wide_rows_are_not_joined_with_their_dates(stored):
     assert text.count("MapInArrow") == 2 and "Join" not in text[: text.rindex("MapInArrow")].split("MapInArrow")[0], text
 
 
+def test_champions_are_compared_and_not_joined(spark, stored):
+    features = spark.sql("""SELECT * FROM VALUES (DATE'1999-03-01', 'a', 1), (DATE'1998-03-01', 'a', 2), (DATE'1999-03-01', NULL, 3),
+        (DATE'1999-03-01', 'b', 4), (NULL, 'b', 5) AS rows(dt_ref, driverid, x)""")
+    best = spark.sql("""SELECT * FROM VALUES (1999L, 'a', 1L), (1998L, 'b', 1L), (1998L, 'a', 2L), (1999L, NULL, 1L), (NULL, 'b', 1L)
+        AS rows(year, driverid, rankdriver)""")
+    found = abt(features, best)
+    assert "Join" not in plan(found)
+    assert {r["x"]: r["flchampion"] for r in found.collect()} == {1: 1, 2: 0, 3: 0, 4: 0, 5: 0}
+    assert [r["flchampion"] for r in abt(features, best.limit(0), "1999-01-01").collect()] == [0, 0, 0]
+
+
 def test_results_are_added_up_by_hash(spark):
     assert "SortAggregate" not in plan(fixtures.results(spark, SF))
 
