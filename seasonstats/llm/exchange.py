@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 BUCKET_BYTES, MOST_BUCKET_BYTES = 8 << 20, 64 << 20
 NO_ID = np.iinfo(np.int64).max  # stands for a null id, after all others
 
-_MESSAGE = "part int, bucket int, hashes binary, extra binary"
+MESSAGE = "part int, bucket int, hashes binary, extra binary"
 
 
 @dataclass(frozen=True)
@@ -46,10 +46,10 @@ def deal(docs: DataFrame, buckets: int, id_column: str = "doc_id", text_column:
     return named.repartition(buckets, "bucket")
 
 
-def _packed(values: np.ndarray) -> bytes:
+def packed(values: np.ndarray) -> bytes:
     """Bytes of the same place side by side, so that the shuffle's compression finds the slowly growing ones."""
     values = np.ascontiguousarray(values)
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
@@ -75,6 +75,20 @@ def _messages(table: pa.Table, kind: type | None) -> list[Message]:
     ]
 
 
+def cut(bucket: int, found: tuple | list, buckets: int, kind: type | None = None, limit: int = 1 << 64) -> pa.Table:
+    """Messages of a bucket, by range of hashes below ``limit``: part p has the hashes from p * width on."""
+    width = -(-limit // buckets)
+    bounds = np.array([min(p * width, (1 << 64) - 1) for p in range(1, buckets)], np.uint64)
+    rows = []
+    for name, hashes, extra in found if isinstance(found, list) else [(bucket, *found)]:
+        at = [0, *np.searchsorted(hashes, bounds).tolist(), len(hashes)]
+        rows += [
+            (p, name, packed(hashes[a:b]), None if kind is None else packed(extra[a:b].astype(kind)))
+            for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a
+        ]
+    return _table(rows)
+
+
 def send(
     dealt: DataFrame, buckets: int, find: Callable, replies: DataFrame | None = None, kind: type | None = None,
     reply_kind: type | None = None, limit: int = 1 << 64,
@@ -82,29 +96,15 @@ def send(
     """Messages of ``find(table[, hashes, extra]) -> (sorted hashes, extra)`` for every bucket, by range of hashes below
     ``limit``. With ``replies`` it gets what they say for the bucket. A list of (name, hashes, extra) sends messages under
     other, negative names than the bucket's, too."""
-
-    def cut(bucket: int, found: tuple | list) -> pa.Table:
-        # Part p has the hashes from p * width on.
-        width = -(-limit // buckets)
-        bounds = np.array([min(p * width, (1 << 64) - 1) for p in range(1, buckets)], np.uint64)
-        rows = []
-        for name, hashes, extra in found if isinstance(found, list) else [(bucket, *found)]:
-            at = [0, *np.searchsorted(hashes, bounds).tolist(), len(hashes)]
-            rows += [
-                (p, name, _packed(hashes[a:b]), None if kind is None else _packed(extra[a:b].astype(kind)))
-                for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a
-            ]
-        return _table(rows)
-
     if replies is None:
         return dealt.groupBy("bucket").applyInArrow(
-            lambda key, table: cut(key[0].as_py(), find(table)), _MESSAGE
+            lambda key, table: cut(key[0].as_py(), find(table), buckets, kind, limit), MESSAGE
         )
 
     def with_replies(key, table, said):
-        return cut(key[0].as_py(), find(table, *gathered(said, reply_kind)))
+        return cut(key[0].as_py(), find(table, *gathered(said, reply_kind)), buckets, kind, limit)
 
-    return with_their_replies(dealt, replies, buckets).applyInArrow(with_replies, _MESSAGE)
+    return with_their_replies(dealt, replies, buckets).applyInArrow(with_replies, MESSAGE)
 
 
 def with_their_replies(dealt: DataFrame, replies: DataFrame, buckets: int):
@@ -128,11 +128,11 @@ def answer(messages: DataFrame, reply: Callable, kind: type | None = None, reply
 
     def ranged(key, table):
         return _table([
-            (key[0].as_py(), bucket, _packed(hashes), None if reply_kind is None else _packed(extra.astype(reply_kind)))
+            (key[0].as_py(), bucket, packed(hashes), None if reply_kind is None else packed(extra.astype(reply_kind)))
             for bucket, hashes, extra in reply(_messages(table, kind)) if len(hashes)
         ])
 
-    return messages.groupBy("part").applyInArrow(ranged, _MESSAGE)
+    return messages.groupBy("part").applyInArrow(ranged, MESSAGE)
 
 
 def shared_by_buckets(messages: list[Message]) -> Iterator[tuple[int, np.ndarray, None]]:

@@ -110,7 +110,8 @@ class Subwords:
         for i, ids in enumerate(out):
             if ids is None:
                 word = found[i]
-                if plain(word):
+                # In lower case already; a word of ASCII letters is found so much faster than by looking each one up.
+                if (word.isascii() and word.isalpha()) or plain(word):
                     spelling = word if word.isascii() else word.translate(spelled)
                     out[i] = kept[word] = array("i", [t.id for t in tokenize(spelling)]).tobytes()
                 else:
@@ -126,7 +127,9 @@ class Subwords:
         lower = pc.ascii_lower(known)
         stems = pc.utf8_rtrim(lower, self.ENDS)
         plain = self.plain.issuperset
-        apart = np.fromiter((plain(s) and s != "" for s in stems.to_pylist()), bool, len(stems))
+        apart = pc.match_substring_regex(stems, "^[a-z]+$").to_numpy(zero_copy_only=False).copy()
+        other = np.flatnonzero(~apart)
+        apart[other] = np.fromiter((plain(s) and s != "" for s in stems.take(pa.array(other)).to_pylist()), bool, len(other))
         whole = pc.if_else(pa.array(apart), stems, lower).dictionary_encode()
         cut = pc.utf8_length(stems).to_numpy(zero_copy_only=False)
         ended = np.flatnonzero(apart & (cut < pc.utf8_length(lower).to_numpy(zero_copy_only=False)))
