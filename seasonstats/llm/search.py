@@ -42,7 +42,10 @@ _SHARD = (
     "n_docs long, n_terms long, doc_ids array<long>, sizes binary, terms array<string>, starts binary, postings binary, "
     "counts binary"
 )
-_ROW_GROUP = 16 << 20
+# Shards are megabytes each, and Parquet's writer would hold 100 of them before it looks at their size; its reader holds a group.
+_STORED = {
+    "compression": "zstd", "parquet.block.size": str(2 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1",
+}
 
 
 def _terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -85,8 +88,7 @@ def build_index(docs: DataFrame, folder: str, id_column: str = "doc_id", text_co
                 yield _shard(part)
 
     chosen = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    writer = chosen.mapInArrow(index, _SHARD).write.option("compression", "zstd")
-    writer.option("parquet.block.size", _ROW_GROUP).parquet(folder)
+    chosen.mapInArrow(index, _SHARD).write.options(**_STORED).parquet(folder)
 
 
 @dataclass
